@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,28 +53,34 @@ def _bucket_boundaries(dist: DataFrame, keys: list[str], order: str,
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: str,
                    sums: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET,
-                   descending: bool = False) -> DataFrame:
+                   descending: bool = False, pre_aggregated: bool = False) -> DataFrame:
     """Distinct (keys, order) rows with the group sums and cumulative sums.
 
     Output columns: keys..., order, for each s in ``sums``: s, cum_s, tot_s.
     ``cum_s`` includes the current key (ties collapse to one row, so the
     result does not depend on how equal keys are ordered).
+    ``pre_aggregated=True``: ``df`` already has one row per (keys, order).
     """
     keys = list(keys)
     sums = list(sums)
-    dist = df.groupBy(*keys, order).agg(*[F.sum(s).alias(s) for s in sums])
+    dist = df if pre_aggregated else df.groupBy(*keys, order).agg(*[F.sum(s).alias(s) for s in sums])
     bounds = _bucket_boundaries(dist, keys, order, rows_per_bucket)
+    ordcol = F.col(order).desc() if descending else F.col(order).asc()
     if bounds is None:
-        bucketed = dist.withColumn("_b", F.lit(0))
-    else:
-        o = F.col(order)
-        # <= MAX_BUCKETS boundaries per group; AQE broadcasts it when small
-        bucketed = (dist.join(bounds, keys, "left")
-                    .withColumn("_b", F.coalesce(
-                        F.size(F.filter("_bounds", lambda b: b < o)), F.lit(0)))
-                    .drop("_bounds"))
-        if descending:
-            bucketed = bucketed.withColumn("_b", -F.col("_b"))
+        # every group fits one window partition: both windows share one exchange
+        w = (Window.partitionBy(*keys).orderBy(ordcol)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        wall = Window.partitionBy(*keys)
+        return dist.select(*keys, order, *sums,
+                           *[F.sum(s).over(w).alias(f"cum_{s}") for s in sums],
+                           *[F.sum(s).over(wall).alias(f"tot_{s}") for s in sums])
+    o = F.col(order)
+    # <= MAX_BUCKETS boundaries per group; AQE broadcasts it when small
+    bucketed = (dist.join(bounds, keys, "left")
+                .withColumn("_b", F.coalesce(F.size(F.filter("_bounds", lambda b: b < o)), F.lit(0)))
+                .drop("_bounds"))
+    if descending:
+        bucketed = bucketed.withColumn("_b", -F.col("_b"))
     # per-bucket totals -> offsets (a table of #groups x #buckets rows)
     btot = bucketed.groupBy(*keys, "_b").agg(*[F.sum(s).alias(f"_bt_{s}") for s in sums])
     wb = Window.partitionBy(*keys).orderBy("_b")
@@ -83,7 +90,6 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: str,
         *[(F.sum(f"_bt_{s}").over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))
            - F.col(f"_bt_{s}")).alias(f"_off_{s}") for s in sums],
         *[F.sum(f"_bt_{s}").over(wall).alias(f"tot_{s}") for s in sums])
-    ordcol = F.col(order).desc() if descending else F.col(order).asc()
     w = (Window.partitionBy(*keys, "_b").orderBy(ordcol)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # offsets has #groups x #buckets rows; the join shares the window's
@@ -102,18 +108,63 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """Quantiles of numeric columns: (keys..., feature, values array<double>).
 
     ``values[i]`` is the linear-interpolated quantile at ``probs[i]`` over the
-    non-NULL values (NULL when the column has none). ``long_input=True``
+    non-NULL values; a column without any has no row. ``long_input=True``
     means ``df`` already is (keys..., feature, x).
+
+    This is a fit step: it runs eagerly (the distinct-value table is cached
+    for its two passes and released) and returns a small local DataFrame
+    of #groups rows.
     """
     keys = list(keys)
     probs = [float(p) for p in probs]
     long = df if long_input else unpivot_numeric(df, cols, keys)
     gk = keys + ["feature"]
     if method == "approx":
-        return long.groupBy(*gk).agg(
+        res = long.groupBy(*gk).agg(
             F.percentile_approx("x", probs, accuracy).cast("array<double>").alias("values"))
-    rt = running_totals(long.withColumn("_c", F.lit(1)), gk, "x", ["_c"], rows_per_bucket)
-    # rank targets per prob: lo = floor(p*(n-1)), hi = min(lo+1, n-1)
+    else:
+        dist = long.groupBy(*gk, "x").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            hits = _rank_hits(dist, gk, probs, rows_per_bucket).collect()
+        finally:
+            dist.unpersist()
+        return df.sparkSession.createDataFrame(_interpolate(hits, gk, probs), res_schema(df, gk))
+    return df.sparkSession.createDataFrame(res.collect(), res.schema)
+
+
+def res_schema(df: DataFrame, gk: list[str]) -> str:
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return ", ".join([*[f"{k} {types.get(k, 'string')}" for k in gk], "values array<double>"])
+
+
+def _interpolate(hits, gk: list[str], probs: list[float]) -> list[tuple]:
+    """Driver side: at most 2 rows per (group, prob) -> interpolated values."""
+    acc: dict = {}
+    for h in hits:
+        g = tuple(h[k] for k in gk)
+        lo, hi, frac = acc.setdefault(g, {}).get(h["i"], (None, None, h["frac"]))
+        x = h["x"]
+        lo = x if lo is None or x < lo else lo
+        hi = x if hi is None or x > hi else hi
+        acc[g][h["i"]] = (lo, hi, frac)
+    out = []
+    for g, per in acc.items():
+        vals = []
+        for i in range(len(probs)):
+            lo, hi, frac = per[i]
+            vals.append(lo + (hi - lo) * frac)
+        out.append((*g, vals))
+    return out
+
+
+def _rank_hits(dist: DataFrame, gk: list[str], probs: list[float],
+               rows_per_bucket: int) -> DataFrame:
+    """Distinct values whose rank range holds a target rank of some prob.
+
+    For prob p and n values, the targets are ranks floor(p(n-1)) and the
+    next one; at most 2 x #probs rows per group come back.
+    """
+    rt = running_totals(dist, gk, "x", ["_c"], rows_per_bucket, pre_aggregated=True)
     parr = F.array(*[F.lit(p) for p in probs])
 
     def p_at(i):
@@ -132,11 +183,6 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 (p_at(i) * n1 - F.floor(p_at(i) * n1)).alias("frac"))),
             lambda t: ((t["lo"] >= start) & (t["lo"] < end)) | ((t["hi"] >= start) & (t["hi"] < end))
         ).alias("_t"))
-    hits = hits.where(F.size("_t") > 0).select(*gk, "x", F.explode("_t").alias("t"))
-    per_q = hits.groupBy(*gk, F.col("t.i").alias("i")).agg(
-        F.min("x").alias("_vlo"), F.max("x").alias("_vhi"), F.first("t.frac").alias("_frac"))
-    # a row block can hold lo and hi at once (same value): min/max cover both cases
-    per_q = per_q.select(*gk, "i", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("v"))
-    return (per_q.groupBy(*gk)
-            .agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("_s"))
-            .select(*gk, F.transform("_s", lambda s: s["v"]).alias("values")))
+    return (hits.where(F.size("_t") > 0)
+            .select(*gk, "x", F.inline("_t"))
+            .select(*gk, "x", "i", "frac"))

@@ -51,3 +51,295 @@ P5 = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
 def q_iv_report(spark, sf_dir):
     iv, _ = W.iv_report(train(spark, sf_dir), NUMERIC, CATEGORICAL, "y", 5)
     return iv.select("feature", rnd("iv", 6).alias("iv"))
+
+
+# ============================================================== shared frames
+from ..operators import association as C  # noqa: E402
+from ..operators import binning as B  # noqa: E402
+from ..operators import performance as E  # noqa: E402
+from ..operators import prep as P  # noqa: E402
+from ..operators import profile as A  # noqa: E402
+from ..operators import stability as D  # noqa: E402
+from ..functions.exprs import cut  # noqa: E402
+from ..sources.fixtures import BAD_VALUES, EXCLUDED, loans  # noqa: E402
+
+FEATS = NUMERIC + CATEGORICAL
+RP = "rp AS (SELECT * FROM r UNION ALL SELECT * REPLACE ('PDV' AS source) FROM r WHERE source = 'Test' AND l_linenumber <= 2)"
+SC = "sc AS (SELECT *, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS pred FROM rp)"
+
+
+def roles(spark, sf_dir, pdv=False):
+    return loans_roles(spark, sf_dir, pdv=pdv)
+
+
+def scored(spark, sf_dir):
+    """All roles (PDV included) with the deterministic score's hard label."""
+    return roles(spark, sf_dir, pdv=True).withColumn("pred", E.hard_label("score"))
+
+
+def forced_sql(name: str, src: str, cols, k: int = 5) -> str:
+    """CTE name(feature, e) of B2 forced edges."""
+    probs = [i / k for i in range(k + 1)]
+    return (S.edges_cte(f"{name}_q", src, cols, probs) + ",\n"
+            f"{name} AS (SELECT feature, CASE WHEN len(e) = 2 THEN list_sort(list_distinct(list_concat("
+            f"[1.0, round(q[1] / 2, 9)], q[2:]))) ELSE e END AS e FROM {name}_q)")
+
+
+def binned_scored(spark, sf_dir):
+    """Model-style binning of the scored roles: B2 edges fitted on Train, missing -> -1 / 'missing'."""
+    s = scored(spark, sf_dir)
+    edges = B.edges_dict(B.forced_edges(s.where(F.col("source") == "Train"), NUMERIC, 5))
+    b = B.apply_bins(s, edges, include_lowest=True, missing_bin=-1)
+    return P.impute_categorical(b, CATEGORICAL), edges
+
+
+def binned_scored_sql() -> list[str]:
+    """CTEs rp, sc, fe (forced edges) and bs (bin codes, long form: source, feature, bin, level, pred, y)."""
+    trn = "(SELECT * FROM r WHERE source = 'Train')"
+    num = (f"SELECT u.source, u.feature, coalesce({S.cut_sql('u.x', 'fe.e')}, -1) AS bin, "
+           f"CAST(NULL AS VARCHAR) AS level, u.pred, u.y FROM "
+           f"(UNPIVOT (SELECT source, pred, y, {', '.join(f'coalesce(CAST({c} AS DOUBLE), -1e308) AS {c}' for c in NUMERIC)} FROM sc) "
+           f"ON {', '.join(NUMERIC)} INTO NAME feature VALUE x) u JOIN fe ON u.feature = fe.feature")
+    cat = (f"SELECT source, feature, CAST(NULL AS INTEGER) AS bin, level, pred, y FROM "
+           f"(UNPIVOT (SELECT source, pred, y, {', '.join(f'coalesce({c}, {chr(39)}missing{chr(39)}) AS {c}' for c in CATEGORICAL)} FROM sc) "
+           f"ON {', '.join(CATEGORICAL)} INTO NAME feature VALUE level)")
+    return [RP, SC, forced_sql("fe", trn, NUMERIC), f"bs AS ({num} UNION ALL {cat})"]
+
+
+def perf_frame(spark, sf_dir):
+    """W5 bin performance per source over the binned scored roles (Goods = predicted 1s)."""
+    b, _ = binned_scored(spark, sf_dir)
+    ct = A.contingency(b, NUMERIC, CATEGORICAL, "pred", ["source"])
+    return W.bin_performance(ct, ["source"])
+
+
+PERF_SQL = (
+    "pf0 AS (SELECT source, feature, bin, level, CAST(count(*) AS BIGINT) AS Total, "
+    "CAST(sum(pred) AS BIGINT) AS Goods, CAST(count(*) - sum(pred) AS BIGINT) AS Bads FROM bs GROUP BY ALL)",
+    "pf1 AS (SELECT *, sum(Total) OVER (PARTITION BY source, feature) AS _tot, "
+    "sum(Goods) OVER (PARTITION BY source, feature) AS _good, sum(Bads) OVER (PARTITION BY source, feature) AS _bad FROM pf0)",
+    "pf2 AS (SELECT *, round(Total / _tot, 4) + 0.0 AS Pop_Percent, round(Goods / Total, 4) + 0.0 AS Good_Rate, "
+    "round(Bads / Total, 4) + 0.0 AS Bad_Rate, round(CASE WHEN _good <> 0 THEN Goods / _good END, 4) + 0.0 AS Good_Percent, "
+    "round(CASE WHEN _bad <> 0 THEN Bads / _bad END, 4) + 0.0 AS Bad_Percent FROM pf1)",
+    "pf3 AS (SELECT *, CASE WHEN Good_Percent > 0 AND Bad_Percent > 0 THEN round(ln(Good_Percent / Bad_Percent), 4) + 0.0 "
+    "WHEN Good_Percent = 0 AND Bad_Percent = 0 THEN NULL ELSE 0.0 END AS WOE FROM pf2)",
+    "perf AS (SELECT source, feature, bin, level, Total, Goods, Bads, Pop_Percent, Good_Rate, Bad_Rate, Good_Percent, "
+    "Bad_Percent, WOE, round(((CASE WHEN _good <> 0 THEN Goods / _good END) - (CASE WHEN _bad <> 0 THEN Bads / _bad END)) * WOE, 4) + 0.0 AS IV FROM pf3)",
+)
+
+
+# ============================================================ P: preparation
+@register("read_dataset", S.with_() + "SELECT l_orderkey, l_linenumber, source, loan_status, yTarget, y, "
+          f"{S.r6('score')} AS score FROM r")
+def q_read_dataset(spark, sf_dir):
+    return roles(spark, sf_dir).select("l_orderkey", "l_linenumber", "source", "loan_status", "yTarget", "y",
+                                       rnd("score", 6).alias("score"))
+
+
+@register("load_roles", S.with_(RP) + "SELECT source, CAST(count(*) AS BIGINT) AS n FROM rp GROUP BY source")
+def q_load_roles(spark, sf_dir):
+    return roles(spark, sf_dir, pdv=True).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("exclude_columns", S.with_() + "SELECT * EXCLUDE (l_orderkey, l_linenumber, l_shipdate, yTarget, y, score) FROM r")
+def q_exclude_columns(spark, sf_dir):
+    return P.exclude_columns(roles(spark, sf_dir), EXCLUDED + ["yTarget", "y", "score"])
+
+
+_NN = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS non_null FROM r WHERE source = 'Train'"
+                         for c in FEATS + ["loan_status"])
+
+
+@register("drop_all_null_columns", S.with_(f"nn AS ({_NN})") +
+          "SELECT column_name, non_null, non_null = 0 AS dropped FROM nn")
+def q_drop_all_null_columns(spark, sf_dir):
+    t = train(spark, sf_dir)
+    cols = FEATS + ["loan_status"]
+    row = t.agg(*[F.count(c).alias(c) for c in cols])
+    long = row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("long").alias("non_null"))
+                                         for c in cols])))
+    return long.withColumn("dropped", F.col("non_null") == 0)
+
+
+_DD = "source, l_linestatus, p_type, c_mktsegment, l_quantity"
+
+
+@register("drop_duplicate_rows", S.with_() + f"SELECT DISTINCT {_DD} FROM r")
+def q_drop_duplicate_rows(spark, sf_dir):
+    return P.drop_duplicate_rows(roles(spark, sf_dir).select(*[c.strip() for c in _DD.split(",")]))
+
+
+@register("derive_target", S.with_() + "SELECT loan_status, yTarget, CAST(count(*) AS BIGINT) AS n FROM r GROUP BY ALL")
+def q_derive_target(spark, sf_dir):
+    d = P.derive_target(loans(spark, sf_dir), "loan_status", BAD_VALUES, True)
+    return d.groupBy("loan_status", "yTarget").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("derive_target_multiclass", S.with_() +
+          "SELECT CASE WHEN loan_status IN ('Charged Off', 'Default') THEN 'Level0' ELSE loan_status END AS yTarget, "
+          "CAST(count(*) AS BIGINT) AS n FROM loans GROUP BY ALL")
+def q_derive_target_multiclass(spark, sf_dir):
+    d = P.derive_target(loans(spark, sf_dir), "loan_status", BAD_VALUES, False)
+    return d.groupBy("yTarget").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("encode_target", S.with_() + "SELECT yTarget, y, CAST(count(*) AS BIGINT) AS n FROM r GROUP BY ALL")
+def q_encode_target(spark, sf_dir):
+    d = P.encode_target(P.derive_target(loans(spark, sf_dir), "loan_status", BAD_VALUES), "yTarget", "y")
+    return d.groupBy("yTarget", "y").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("target_summary", S.with_(
+    "c AS (SELECT source, yTarget, CAST(count(*) AS BIGINT) AS count FROM r GROUP BY ALL)",
+    "s AS (SELECT *, round(count / sum(count) OVER (PARTITION BY source), 6) + 0.0 AS share, "
+    "CAST(count(*) OVER (PARTITION BY source) AS BIGINT) AS n_classes, "
+    "CAST(sum(count) OVER (PARTITION BY source) AS BIGINT) AS n_rows FROM c)")
+    + "SELECT source, yTarget, count, share, n_classes, n_rows, n_classes = 2 AS binomial, "
+      "min(share) OVER (PARTITION BY source) < 0.1 AS imbalanced, n_classes < 2 AS too_few_classes, "
+      "n_rows <= 5000 AS small_sample FROM s")
+def q_target_summary(spark, sf_dir):
+    return P.target_summary(roles(spark, sf_dir), "yTarget", keys=["source"])
+
+
+@register("split_by_key")
+def q_split_by_key(spark, sf_dir):
+    d = P.split_by_key(loans(spark, sf_dir), "l_orderkey", 0.25, 144)
+    return d.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    return P.sample_rows(roles(spark, sf_dir), 0.1, 144).select("l_orderkey", "l_linenumber", "source", "y")
+
+
+@register("select_features", S.with_() + f"SELECT {', '.join(FEATS)}, y FROM r WHERE source = 'Train'")
+def q_select_features(spark, sf_dir):
+    return P.select_features(train(spark, sf_dir), FEATS, "y")
+
+
+def _missing_sql(src: str) -> str:
+    parts = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(count(*) - count({c}) AS BIGINT) AS missing, "
+                               f"count(*) AS rows FROM {src}" for c in FEATS)
+    return (f"m AS ({parts})",
+            "SELECT feature, missing, round(CASE WHEN rows > 0 THEN missing / rows END, 3) + 0.0 AS missing_share, "
+            "round(CASE WHEN max(missing) OVER () > 0 THEN missing / max(missing) OVER () END, 3) + 0.0 AS missing_share_max FROM m")
+
+
+@register("missing_profile", S.with_(_missing_sql(TRAIN)[0]) + _missing_sql(TRAIN)[1])
+def q_missing_profile(spark, sf_dir):
+    return A.missing_profile(train(spark, sf_dir), FEATS)
+
+
+@register("drop_high_missing", S.with_(_missing_sql(TRAIN)[0], "mp AS (" + _missing_sql(TRAIN)[1] + ")") +
+          "SELECT feature, missing_share, missing_share >= 0.6 AS dropped, missing_share_max >= 0.6 AS dropped_max FROM mp")
+def q_drop_high_missing(spark, sf_dir):
+    m = A.missing_profile(train(spark, sf_dir), FEATS)
+    return m.select("feature", "missing_share", (F.col("missing_share") >= 0.6).alias("dropped"),
+                    (F.col("missing_share_max") >= 0.6).alias("dropped_max"))
+
+
+_CARD = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c}) AS BIGINT) AS nunique FROM {TRAIN}"
+                           for c in CATEGORICAL)
+
+
+@register("drop_high_cardinality", S.with_(f"d AS ({_CARD})") + "SELECT feature, nunique, nunique > 15 AS dropped FROM d")
+def q_drop_high_cardinality(spark, sf_dir):
+    d = A.distinct_profile(train(spark, sf_dir), CATEGORICAL)
+    return d.select("feature", "nunique", (F.col("nunique") > 15).alias("dropped"))
+
+
+IMP = ["l_tax", "o_totalprice", "l_quantity"]
+
+
+def _impute_sql(fill: str) -> str:
+    vals = " UNION ALL ".join(f"SELECT DISTINCT '{c}' AS feature, {fill.format(c=c)} AS value FROM {TRAIN}"
+                              for c in IMP)
+    sums = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, avg(coalesce(t.{c}, v.value)) AS filled_mean FROM {TRAIN} t, "
+        f"(SELECT value FROM v WHERE feature = '{c}') v" for c in IMP)
+    return (S.with_(f"v AS ({vals})", f"s AS ({sums})") +
+            f"SELECT v.feature, {S.r6('v.value')} AS value, {S.r6('s.filled_mean', 4)} AS filled_mean "
+            "FROM v JOIN s ON v.feature = s.feature")
+
+
+def _impute_q(how):
+    def q(spark, sf_dir):
+        t = train(spark, sf_dir)
+        vals = P.impute_values(t, IMP, how, -999.0)
+        f = P.impute_numeric(t, vals, how)
+        sums = f.agg(*[F.avg(c).alias(c) for c in IMP])
+        return sums.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"),
+                                                        rnd(F.lit(float(vals[c])), 6).alias("value"),
+                                                        rnd(F.col(c), 4).alias("filled_mean")) for c in IMP])))
+    return q
+
+
+register("impute_mean", _impute_sql("avg({c})"))(_impute_q("mean"))
+register("impute_median", _impute_sql("quantile_cont({c}, 0.5)"))(_impute_q("median"))
+register("impute_constant", _impute_sql("-999.0"))(_impute_q("constant"))
+
+
+@register("impute_drop", S.with_() + "SELECT source, CAST(count(*) AS BIGINT) AS n FROM r WHERE "
+          + " AND ".join(f"{c} IS NOT NULL" for c in IMP) + " GROUP BY source")
+def q_impute_drop(spark, sf_dir):
+    d = P.impute_numeric(roles(spark, sf_dir), {c: 0.0 for c in IMP}, "drop")
+    return d.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("impute_categorical", S.with_() + "SELECT coalesce(o_orderpriority, 'missing') AS o_orderpriority, "
+          "CAST(count(*) AS BIGINT) AS n FROM r GROUP BY ALL")
+def q_impute_categorical(spark, sf_dir):
+    d = P.impute_categorical(roles(spark, sf_dir), ["o_orderpriority"])
+    return d.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("fill_unbinned_numeric", S.with_() + "SELECT source, " + ", ".join(
+    f"{S.r6(f'sum(coalesce({c}, 0))', 4)} AS {c}" for c in IMP) + " FROM r GROUP BY source")
+def q_fill_unbinned_numeric(spark, sf_dir):
+    d = P.fill_unbinned_numeric(roles(spark, sf_dir), IMP)
+    return d.groupBy("source").agg(*[rnd(F.sum(c), 4).alias(c) for c in IMP])
+
+
+@register("missing_bin", S.with_(*binned_scored_sql()) +
+          "SELECT source, feature, bin, level, CAST(count(*) AS BIGINT) AS n FROM bs "
+          "WHERE bin = -1 OR level = 'missing' GROUP BY ALL")
+def q_missing_bin(spark, sf_dir):
+    b, _ = binned_scored(spark, sf_dir)
+    ct = A.contingency(b, NUMERIC, CATEGORICAL, "y", ["source"])
+    return ct.where((F.col("bin") == -1) | (F.col("level") == "missing")).select("source", "feature", "bin", "level", "n")
+
+
+GROUPS = {"PROMO": "Promotional", "STANDARD": "Core", "ECONOMY": "Core"}
+
+
+@register("group_categories", S.with_(
+    "seen AS (SELECT DISTINCT p_type AS level FROM r WHERE source = 'Train' AND p_type IS NOT NULL)",
+    "m AS (SELECT level, CASE level " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in GROUPS.items())
+    + " ELSE level END AS grouped FROM seen)")
+    + "SELECT r.source, coalesce(m.grouped, 'missing') AS p_type, CAST(count(*) AS BIGINT) AS n "
+      "FROM r LEFT JOIN m ON r.p_type = m.level GROUP BY ALL")
+def q_group_categories(spark, sf_dir):
+    d = roles(spark, sf_dir)
+    m = P.category_map(d.where(F.col("source") == "Train"), "p_type", GROUPS)
+    g = P.group_categories(d, "p_type", m)
+    return g.groupBy("source", "p_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+TRANS = {"l_extendedprice": "log", "l_quantity": "sqrt", "l_discount": "recip"}
+
+
+@register("transform_numeric", S.with_() + "SELECT source, "
+          f"{S.r6('sum(CASE WHEN l_extendedprice > 0 THEN ln(l_extendedprice) END)', 4)} AS l_extendedprice, "
+          f"{S.r6('sum(CASE WHEN l_quantity >= 0 THEN sqrt(l_quantity) END)', 4)} AS l_quantity, "
+          f"{S.r6('sum(CASE WHEN l_discount <> 0 THEN 1.0 / l_discount ELSE 0.0 END)', 4)} AS l_discount "
+          "FROM r GROUP BY source")
+def q_transform_numeric(spark, sf_dir):
+    d = P.transform_numeric(roles(spark, sf_dir), TRANS)
+    return d.groupBy("source").agg(*[rnd(F.sum(c), 4).alias(c) for c in TRANS])
+
+
+@register("role_filter", S.with_(*binned_scored_sql(), *PERF_SQL) +
+          "SELECT source, feature, level, Total, Pop_Percent FROM perf WHERE source = 'OOT' AND feature = 'p_type'")
+def q_role_filter(spark, sf_dir):
+    return P.role_filter(perf_frame(spark, sf_dir), "OOT", "p_type").select(
+        "source", "feature", "level", "Total", "Pop_Percent")
