@@ -343,3 +343,234 @@ def q_transform_numeric(spark, sf_dir):
 def q_role_filter(spark, sf_dir):
     return P.role_filter(perf_frame(spark, sf_dir), "OOT", "p_type").select(
         "source", "feature", "level", "Total", "Pop_Percent")
+
+
+# ============================================================ A: profiling
+P9 = [i / 10 for i in range(1, 10)]
+
+
+@register("describe_numeric", S.with_(
+    f"d AS (SELECT feature, count(x) AS count, min(x) AS mn, max(x) AS mx, avg(x) AS mean, stddev_samp(x) AS std, "
+    f"quantile_cont(x, {S.plist(P9)}) AS q FROM {S.unpivot(TRAIN, NUMERIC, [], cast='DOUBLE')} GROUP BY feature)")
+    + "SELECT feature, CAST(count AS BIGINT) AS count, " + ", ".join(
+        [f"{S.r6(a, 2)} AS {b}" for a, b in (("mn", "min"), ("mx", "max"), ("mean", "mean"), ("std", "std"))]
+        + [f"{S.r6(f'q[{i + 1}]', 2)} AS p{(i + 1) * 10}" for i in range(9)]) + " FROM d")
+def q_describe_numeric(spark, sf_dir):
+    return A.describe_numeric(train(spark, sf_dir), NUMERIC)
+
+
+_DIST = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c}) AS BIGINT) AS nunique, "
+    f"CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_unique_with_null FROM {TRAIN}"
+    for c in FEATS)
+
+
+@register("distinct_profile", S.with_() + _DIST)
+def q_distinct_profile(spark, sf_dir):
+    return A.distinct_profile(train(spark, sf_dir), FEATS)
+
+
+@register("value_counts", S.with_() + f"SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS count FROM {TRAIN} GROUP BY ALL")
+def q_value_counts(spark, sf_dir):
+    return A.value_counts(train(spark, sf_dir), "o_orderpriority")
+
+
+@register("class_balance", S.with_() + "SELECT source, yTarget, CAST(count(*) AS BIGINT) AS count, "
+          "round(count(*) / sum(count(*)) OVER (PARTITION BY source), 6) + 0.0 AS share FROM r GROUP BY source, yTarget")
+def q_class_balance(spark, sf_dir):
+    return A.class_balance(roles(spark, sf_dir), "yTarget", ["source"])
+
+
+CT_SQL = [S.edges_cte("ed", TRAIN, NUMERIC, P5), S.ct_numeric_cte("ctn", TRAIN, NUMERIC, "ed"),
+          S.ct_categorical_cte("ctc", TRAIN, CATEGORICAL), "ct AS (SELECT * FROM ctn UNION ALL SELECT * FROM ctc)"]
+
+
+def train_ct(spark, sf_dir):
+    t = train(spark, sf_dir)
+    edges = B.edges_dict(B.quantile_edges(t, NUMERIC, 5))
+    return A.contingency(t, {f: cut(F.col(f), edges[f]) for f in NUMERIC}, CATEGORICAL, "y")
+
+
+@register("contingency", S.with_(*CT_SQL) + "SELECT * FROM ct")
+def q_contingency(spark, sf_dir):
+    return train_ct(spark, sf_dir)
+
+
+# ============================================================ B: binning
+def _explode_edges(df, col="edges"):
+    return df.select("feature", F.posexplode(col).alias("idx", "edge"))
+
+
+@register("quantile_edges", S.with_(S.edges_cte("ed", TRAIN, NUMERIC, P5)) +
+          "SELECT feature, CAST(i - 1 AS INTEGER) AS idx, e[i] AS edge FROM ed, range(1, 7) t(i) WHERE i <= len(e)")
+def q_quantile_edges(spark, sf_dir):
+    return _explode_edges(B.quantile_edges(train(spark, sf_dir), NUMERIC, 5))
+
+
+@register("forced_edges", S.with_(forced_sql("fe", TRAIN, NUMERIC)) +
+          "SELECT feature, CAST(i - 1 AS INTEGER) AS idx, e[i] AS edge FROM fe, range(1, 8) t(i) WHERE i <= len(e)")
+def q_forced_edges(spark, sf_dir):
+    return _explode_edges(B.forced_edges(train(spark, sf_dir), NUMERIC, 5))
+
+
+_LC = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_distinct "
+    f"FROM {TRAIN}" for c in NUMERIC + ["l_linenumber"])
+
+
+@register("low_cardinality_levels", S.with_(f"lc AS ({_LC})") +
+          "SELECT feature, n_distinct, n_distinct <= 5 AS low_cardinality FROM lc")
+def q_low_cardinality_levels(spark, sf_dir):
+    lv = B.low_cardinality_levels(train(spark, sf_dir), NUMERIC + ["l_linenumber"], 5)
+    return lv.select("feature", "n_distinct", "low_cardinality")
+
+
+CUSTOM = {"l_quantity": [0.0, 10.0, 20.0, 30.0, 40.0, 50.0], "l_discount": [0.0, 0.02, 0.05, 0.1]}
+_CUST = " UNION ALL ".join(f"SELECT '{f}' AS feature, {S.plist(e)} AS e" for f, e in CUSTOM.items())
+
+
+@register("apply_custom_bins", S.with_(f"ce AS ({_CUST})", S.ct_numeric_cte("ctn", "r", list(CUSTOM), "ce", ["source"]))
+          + "SELECT source, feature, bin, n FROM ctn")
+def q_apply_custom_bins(spark, sf_dir):
+    d = roles(spark, sf_dir)
+    edges = B.edges_dict(B.custom_edges(spark, CUSTOM))
+    b = B.apply_bins(d, edges)
+    return A.contingency(b, list(CUSTOM), [], "y", ["source"]).select("source", "feature", "bin", "n")
+
+
+EW = ["l_quantity", "p_size"]
+TEST = "(SELECT * FROM r WHERE source = 'Test')"
+_EW = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round_even(min({c}), 0) AS lo, round_even(max({c}), 0) AS hi FROM "
+    f"(SELECT {c} FROM r WHERE source IN ('Train', 'Test'))" for c in EW)
+EW_SQL = (f"mm AS ({_EW})",
+          "ew AS (SELECT feature, CASE WHEN round_even((hi - lo) / 10, 0) > 0 THEN "
+          "list_transform(range(CAST(lo AS BIGINT), CAST(hi AS BIGINT), CAST(round_even((hi - lo) / 10, 0) AS BIGINT)), "
+          "lambda v: CAST(v AS DOUBLE)) ELSE [] END AS e FROM mm)")
+
+
+@register("equal_width_bins", S.with_(*EW_SQL) +
+          "SELECT feature, CAST(i - 1 AS INTEGER) AS idx, e[i] AS edge FROM ew, range(1, 100) t(i) WHERE i <= len(e)")
+def q_equal_width_bins(spark, sf_dir):
+    d = roles(spark, sf_dir)
+    e = B.equal_width_edges(d.where(F.col("source") == "Train"), d.where(F.col("source") == "Test"), EW, 10)
+    return _explode_edges(e)
+
+
+DEC = ["l_extendedprice", "l_discount", "o_totalprice", "disc_amt"]
+DEC_SQL = S.edges_cte("de", TRAIN, DEC, [i / 10 for i in range(1, 11)], distinct=False)
+
+
+@register("decile_histogram", S.with_(DEC_SQL) +
+          f"SELECT source, feature, bin, CAST(count(*) AS BIGINT) AS n FROM (SELECT u.source, u.feature, "
+          f"{S.hist_sql('u.x', 'de.q')} AS bin "
+          f"FROM {S.unpivot('(SELECT * FROM r WHERE source IN (' + chr(39) + 'Train' + chr(39) + ', ' + chr(39) + 'Test' + chr(39) + '))', DEC, ['source'], cast='DOUBLE')} u "
+          "JOIN de ON u.feature = de.feature) WHERE bin IS NOT NULL GROUP BY source, feature, bin")
+def q_decile_histogram(spark, sf_dir):
+    d = roles(spark, sf_dir).where(F.col("source").isin("Train", "Test"))
+    edges = {r["feature"]: r["edges"] for r in B.decile_edges(d.where(F.col("source") == "Train"), DEC).collect()}
+    h = B.apply_hist(d, edges)
+    return A.contingency(h, DEC, [], "y", ["source"]).select("source", "feature", "bin", "n")
+
+
+SDE_SQL = ("sq AS (SELECT list_transform(quantile_cont(score, " + S.plist([round(i / 10, 1) for i in range(11)])
+           + "), lambda v: round(v, 9)) AS q FROM r WHERE source = 'Train')",
+           "sde AS (SELECT list_sort(list_distinct(list_transform(q, lambda v: CASE WHEN v = list_min(q) THEN 0.0 "
+           "WHEN v = list_max(q) THEN 1.0 ELSE v END))) AS e FROM sq)")
+
+
+@register("score_decile_edges", S.with_(*SDE_SQL) +
+          "SELECT CAST(i - 1 AS INTEGER) AS idx, e[i] AS edge FROM sde, range(1, 12) t(i) WHERE i <= len(e)")
+def q_score_decile_edges(spark, sf_dir):
+    e = B.score_decile_edges(train(spark, sf_dir), "score", 10)
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(e)], "idx int, edge double")
+
+
+RB_SQL = ("rq AS (SELECT list_sort(list_distinct(list_transform(quantile_cont(score, " + S.plist(P5)
+          + "), lambda v: round(v, 9)))) AS e FROM r WHERE source = 'Train')",)
+
+
+def train_band_edges(d):
+    return B.risk_band_edges(d.where(F.col("source") == "Train"), "score", 5).first()["edges"]
+
+
+@register("risk_band_edges", S.with_(*RB_SQL) +
+          "SELECT CAST(i - 1 AS INTEGER) AS idx, e[i] AS edge FROM rq, range(1, 7) t(i) WHERE i <= len(e)")
+def q_risk_band_edges(spark, sf_dir):
+    e = B.risk_band_edges(train(spark, sf_dir), "score", 5)
+    return e.select(F.posexplode("edges").alias("idx", "edge"))
+
+
+BANDS_SQL = (RP, SC, *RB_SQL, f"bd AS (SELECT sc.*, {S.cut_sql('sc.score', 'rq.e', False)} AS risk_band FROM sc, rq)")
+
+
+@register("risk_bands", S.with_(*BANDS_SQL) +
+          "SELECT source, risk_band, CAST(count(*) AS BIGINT) AS n FROM bd GROUP BY ALL")
+def q_risk_bands(spark, sf_dir):
+    d = scored(spark, sf_dir)
+    b = B.assign_risk_band(d, train_band_edges(d), "score")
+    return b.groupBy("source", "risk_band").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("bin_info", S.with_(forced_sql("fe", TRAIN, NUMERIC), S.ct_numeric_cte("ctn", TRAIN, NUMERIC, "fe")) +
+          "SELECT c.feature, c.bin AS index, c.n AS count, fe.e[c.bin + 1] AS min FROM ctn c JOIN fe ON c.feature = fe.feature")
+def q_bin_info(spark, sf_dir):
+    t = train(spark, sf_dir)
+    fe = B.forced_edges(t, NUMERIC, 5)
+    edges = B.edges_dict(fe)
+    ct = A.contingency(t, {f: cut(F.col(f), edges[f]) for f in NUMERIC}, [], "y")
+    return B.bin_info(ct, fe)
+
+
+# ============================================================ W: WOE / IV
+@register("woe_table", S.with_(*CT_SQL, S.woe_cte("w", "ct")) +
+          "SELECT feature, bin, level, n0, n1, " + ", ".join(
+              f"{S.r6(c)} AS {c}" for c in ("pct0", "pct1", "woe")) + f", {S.r6('coalesce((pct0 - pct1) * woe, 0.0)')} AS iv FROM w")
+def q_woe_table(spark, sf_dir):
+    w = W.woe_table(train_ct(spark, sf_dir))
+    return w.select("feature", "bin", "level", "n0", "n1", *[rnd(c, 6).alias(c) for c in ("pct0", "pct1", "woe", "iv")])
+
+
+@register("iv_filter", S.with_(*CT_SQL, S.woe_cte("w", "ct")) +
+          "SELECT feature, round(sum(coalesce((pct0 - pct1) * woe, 0.0)), 6) + 0.0 AS iv, "
+          "sum(coalesce((pct0 - pct1) * woe, 0.0)) > 0.02 AS keep FROM w GROUP BY feature")
+def q_iv_filter(spark, sf_dir):
+    iv = W.feature_iv(train_ct(spark, sf_dir))
+    return W.iv_filter(iv, 0.02).select("feature", rnd("iv", 6).alias("iv"), "keep")
+
+
+_WE = ("we AS (SELECT feature, level, n, n1, n - n1 AS n0, sum(n1) OVER (PARTITION BY feature) AS tot1, "
+       "sum(n - n1) OVER (PARTITION BY feature) AS tot0 FROM (SELECT feature, level, count(*) AS n, sum(y) AS n1 FROM "
+       + S.unpivot("(SELECT y, " + ", ".join(f"coalesce({c}, 'missing') AS {c}" for c in CATEGORICAL) + f" FROM {TRAIN})",
+                   CATEGORICAL, ["y"], value="level") + " GROUP BY ALL))")
+
+
+@register("woe_encode", S.with_(_WE) +
+          "SELECT feature, level, round(CASE WHEN n > 1 THEN ln(((n1 + 1.0) / (tot1 + 2.0)) / ((n0 + 1.0) / (tot0 + 2.0))) "
+          "ELSE 0.0 END, 6) + 0.0 AS woe FROM we")
+def q_woe_encode(spark, sf_dir):
+    t = W.woe_encoder_table(train(spark, sf_dir), CATEGORICAL, "y")
+    return t.select("feature", "level", rnd("woe", 6).alias("woe"))
+
+
+@register("bin_performance", S.with_(*binned_scored_sql(), *PERF_SQL) + "SELECT * FROM perf")
+def q_bin_performance(spark, sf_dir):
+    return perf_frame(spark, sf_dir)
+
+
+@register("bivariate_series", S.with_(*binned_scored_sql(), *PERF_SQL) +
+          "SELECT source, feature, bin_no, CAST(bin_no AS VARCHAR) || '. ' || coalesce(level, CAST(bin AS VARCHAR)) AS bin_label, "
+          "population_pct, bad_pct FROM (SELECT *, CAST(row_number() OVER (PARTITION BY source, feature "
+          "ORDER BY bin NULLS FIRST, level NULLS FIRST) AS INTEGER) AS bin_no, round(Pop_Percent * 100, 2) + 0.0 AS population_pct, "
+          "round(Bad_Percent * 100, 2) + 0.0 AS bad_pct FROM perf)")
+def q_bivariate_series(spark, sf_dir):
+    return W.bivariate_series(perf_frame(spark, sf_dir))
+
+
+@register("iv_by_source", S.with_(*binned_scored_sql(), *PERF_SQL) +
+          "SELECT feature, round(sum(IV) FILTER (WHERE source = 'Test'), 4) + 0.0 AS IV_Test, "
+          "round(sum(IV) FILTER (WHERE source = 'OOT'), 4) + 0.0 AS IV_OOT, "
+          "round(sum(IV) FILTER (WHERE source = 'PDV'), 4) + 0.0 AS IV_PDV FROM perf GROUP BY feature "
+          "HAVING IV_Test IS NOT NULL AND IV_OOT IS NOT NULL AND IV_PDV IS NOT NULL")
+def q_iv_by_source(spark, sf_dir):
+    return W.iv_by_source(perf_frame(spark, sf_dir))
