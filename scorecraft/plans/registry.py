@@ -574,3 +574,141 @@ def q_bivariate_series(spark, sf_dir):
           "HAVING IV_Test IS NOT NULL AND IV_OOT IS NOT NULL AND IV_PDV IS NOT NULL")
 def q_iv_by_source(spark, sf_dir):
     return W.iv_by_source(perf_frame(spark, sf_dir))
+
+
+# ============================================================ C: association
+def chi2_sf_duck(x: str, dof: str) -> str:
+    """DuckDB text of the chi-square upper tail (same series / erfc fit as the Spark side)."""
+    from ..functions.exprs import erfc_sql
+    h = f"(({x}) / 2.0)"
+    even = (f"exp(-{h}) * coalesce(list_sum(list_transform(range(0, CAST(({dof}) / 2 AS BIGINT)), "
+            f"lambda j: exp(j * ln({h}) - lgamma(j + 1)))), 0.0)")
+    odd = (f"{erfc_sql(f'sqrt({h})')} + exp(-{h}) * coalesce(list_sum(list_transform(range(1, CAST((({dof}) - 1) / 2 AS BIGINT) + 1), "
+           f"lambda j: exp((j - 0.5) * ln({h}) - lgamma(j + 0.5)))), 0.0)")
+    return (f"CASE WHEN ({dof}) <= 0 THEN 1.0 WHEN ({x}) <= 0 THEN 1.0 "
+            f"WHEN ({dof}) % 2 = 0 THEN {even} ELSE {odd} END")
+
+
+def chi_sql(src_ct: str, keys=()) -> list[str]:
+    part = ", ".join([*keys, "feature"])
+    kk = "".join(f"{k}, " for k in keys)
+    return [
+        f"c1 AS (SELECT *, sum(n) OVER (PARTITION BY {part}) AS _tot, sum(n0) OVER (PARTITION BY {part}) AS _c0, "
+        f"sum(n1) OVER (PARTITION BY {part}) AS _c1, count(*) OVER (PARTITION BY {part}) AS _r FROM {src_ct})",
+        "c2 AS (SELECT *, (CASE WHEN _c0 > 0 THEN 1 ELSE 0 END) + (CASE WHEN _c1 > 0 THEN 1 ELSE 0 END) AS _k FROM c1)",
+        "c3 AS (SELECT *, (_r - 1) * (_k - 1) AS _dof, n * _c0 / _tot AS e0, n * _c1 / _tot AS e1 FROM c2)",
+        "c4 AS (SELECT *, abs(n0 - e0) AS d0, abs(n1 - e1) AS d1 FROM c3)",
+        "c5 AS (SELECT *, CASE WHEN _dof = 1 THEN d0 - least(0.5, d0) ELSE d0 END AS a0, "
+        "CASE WHEN _dof = 1 THEN d1 - least(0.5, d1) ELSE d1 END AS a1 FROM c4)",
+        f"chi AS (SELECT {kk}feature, CASE WHEN first(_dof) > 0 THEN sum(CASE WHEN e0 > 0 THEN a0 * a0 / e0 ELSE 0.0 END "
+        f"+ CASE WHEN e1 > 0 THEN a1 * a1 / e1 ELSE 0.0 END) ELSE 0.0 END AS chi_square, "
+        f"first(_dof) AS dof, first(_tot) AS n, first(_r) AS r, first(_k) AS k FROM c5 GROUP BY {part})",
+        f"chip AS (SELECT *, {chi2_sf_duck('chi_square', 'dof')} AS p_value FROM chi)",
+        "chiv AS (SELECT *, CASE WHEN n <= 1 THEN 0.0 WHEN least(k - (k - 1) * (k - 1) / (n - 1), r - (r - 1) * (r - 1) / (n - 1)) - 1 = 0 "
+        "THEN 0.0 WHEN least(k - (k - 1) * (k - 1) / (n - 1), r - (r - 1) * (r - 1) / (n - 1)) - 1 > 0 THEN "
+        "round(sqrt(greatest(0.0, chi_square / n - (k - 1) * (r - 1) / (n - 1)) / (least(k - (k - 1) * (k - 1) / (n - 1), "
+        "r - (r - 1) * (r - 1) / (n - 1)) - 1)), 4) + 0.0 END AS cramers_v FROM chip)",
+    ]
+
+
+CT_CAT = [S.ct_categorical_cte("ctc", TRAIN, CATEGORICAL)]
+
+
+def train_chi(spark, sf_dir):
+    ct = A.contingency(train(spark, sf_dir), {}, CATEGORICAL, "y")
+    return C.cramers_v(C.chi_square(ct))
+
+
+@register("chi_square", S.with_(*CT_CAT, *chi_sql("ctc")) +
+          "SELECT feature, round(chi_square, 6) + 0.0 AS chi_square, CAST(dof AS BIGINT) AS dof FROM chiv")
+def q_chi_square(spark, sf_dir):
+    return train_chi(spark, sf_dir).select("feature", rnd("chi_square", 6).alias("chi_square"),
+                                           F.col("dof").cast("long").alias("dof"))
+
+
+@register("chi_square_pvalue", S.with_(*CT_CAT, *chi_sql("ctc")) +
+          "SELECT feature, round(p_value, 6) + 0.0 AS p_value FROM chiv")
+def q_chi_square_pvalue(spark, sf_dir):
+    return train_chi(spark, sf_dir).select("feature", rnd("p_value", 6).alias("p_value"))
+
+
+@register("cramers_v", S.with_(*CT_CAT, *chi_sql("ctc")) + "SELECT feature, cramers_v FROM chiv")
+def q_cramers_v(spark, sf_dir):
+    return train_chi(spark, sf_dir).select("feature", "cramers_v")
+
+
+_CARD2 = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) "
+    f"AS n_unique_with_null FROM {TRAIN}" for c in CATEGORICAL)
+
+
+@register("cramersv_filter", S.with_(*CT_CAT, *chi_sql("ctc"), f"cd AS ({_CARD2})") +
+          "SELECT cd.feature, CASE WHEN n_unique_with_null > 15 THEN NULL ELSE cramers_v END AS cramers_v, "
+          "n_unique_with_null, (n_unique_with_null > 15 OR cramers_v <= 0.1) AS eliminate "
+          "FROM cd LEFT JOIN chiv ON cd.feature = chiv.feature")
+def q_cramersv_filter(spark, sf_dir):
+    t = train(spark, sf_dir)
+    return C.cramersv_filter(train_chi(spark, sf_dir), A.distinct_profile(t, CATEGORICAL), 0.1, 15)
+
+
+@register("cramersv_by_source", S.with_(
+    *binned_scored_sql(),
+    "cts AS (SELECT source, feature, bin, level, count(*) AS n, sum(pred) AS n1, count(*) - sum(pred) AS n0 FROM bs "
+    "WHERE level IS NOT NULL AND source IN ('Test', 'OOT', 'PDV') GROUP BY ALL)", *chi_sql("cts", ["source"]))
+    + "SELECT feature, " + ", ".join(
+        f"max(CASE WHEN source = '{s}' THEN round(chi_square, 4) + 0.0 END) AS {s}_chi_square, "
+        f"max(CASE WHEN source = '{s}' THEN round(p_value, 4) + 0.0 END) AS {s}_p_value, "
+        f"max(CASE WHEN source = '{s}' THEN cramers_v END) AS {s}_cramers_v" for s in ("Test", "OOT", "PDV"))
+    + " FROM chiv GROUP BY feature")
+def q_cramersv_by_source(spark, sf_dir):
+    b, _ = binned_scored(spark, sf_dir)
+    ct = A.contingency(b.where(F.col("source").isin("Test", "OOT", "PDV")), {}, CATEGORICAL, "pred", ["source"])
+    return C.cramersv_by_source(C.chi_square(ct, ["source"]))
+
+
+_PAIRS = " UNION ALL ".join(
+    f"SELECT '{a}' AS feature1, '{b}' AS feature2, "
+    + ("max(1.0)" if a == b else f"corr({a}, {b})") + f" AS corr FROM {TRAIN}"
+    for a in NUMERIC for b in NUMERIC)
+
+
+@register("correlation_matrix", S.with_() + f"SELECT feature1, feature2, round(corr, 6) + 0.0 AS corr FROM ({_PAIRS})")
+def q_correlation_matrix(spark, sf_dir):
+    c = C.correlation_matrix(train(spark, sf_dir), NUMERIC)
+    return c.select("feature1", "feature2", rnd("corr", 6).alias("corr"))
+
+
+@register("correlated_pairs", S.with_(*CT_SQL, S.woe_cte("w", "ct"),
+                                      "iv AS (SELECT feature, sum(coalesce((pct0 - pct1) * woe, 0.0)) AS iv FROM w GROUP BY feature)",
+                                      f"cm AS ({_PAIRS})") +
+          "SELECT DISTINCT CASE WHEN coalesce(i1.iv, 0.0) > coalesce(i2.iv, 0.0) THEN cm.feature2 ELSE cm.feature1 END AS feature "
+          "FROM cm LEFT JOIN iv i1 ON cm.feature1 = i1.feature LEFT JOIN iv i2 ON cm.feature2 = i2.feature "
+          "WHERE cm.feature1 <> cm.feature2 AND cm.corr > 0.5")
+def q_correlated_pairs(spark, sf_dir):
+    t = train(spark, sf_dir)
+    return C.correlated_pairs(C.correlation_matrix(t, NUMERIC), W.feature_iv(train_ct(spark, sf_dir)), 0.5)
+
+
+VIF3 = ["l_quantity", "l_extendedprice", "l_discount"]
+_a, _b, _c = VIF3
+VIF_SQL = (
+    f"mo AS (SELECT count(*) AS n, avg({_a}) AS m0, avg({_b}) AS m1, avg({_c}) AS m2, "
+    f"covar_samp({_a}, {_a}) AS a, covar_samp({_a}, {_b}) AS b, covar_samp({_a}, {_c}) AS c, "
+    f"covar_samp({_b}, {_b}) AS d, covar_samp({_b}, {_c}) AS e, covar_samp({_c}, {_c}) AS f FROM {TRAIN})",
+    "mi AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM mo)",
+    "iv3 AS (SELECT *, (d * f - e * e) / det AS i00, (a * f - c * c) / det AS i11, (a * d - b * b) / det AS i22, "
+    "(c * e - b * f) / det AS i01, (b * e - c * d) / det AS i02, (b * c - a * e) / det AS i12 FROM mi)",
+    f"vf AS (SELECT '{_a}' AS feature, i00 * a AS vif FROM iv3 UNION ALL SELECT '{_b}', i11 * d FROM iv3 UNION ALL "
+    f"SELECT '{_c}', i22 * f FROM iv3 UNION ALL SELECT 'const', 1.0 + n / (n - 1.0) * (m0 * m0 * i00 + m1 * m1 * i11 "
+    "+ m2 * m2 * i22 + 2 * (m0 * m1 * i01 + m0 * m2 * i02 + m1 * m2 * i12)) FROM iv3)")
+
+
+@register("vif", S.with_(*VIF_SQL) + "SELECT feature, round(vif, 6) + 0.0 AS vif FROM vf")
+def q_vif(spark, sf_dir):
+    return C.vif(train(spark, sf_dir), VIF3).select("feature", rnd("vif", 6).alias("vif"))
+
+
+@register("vif_filter", S.with_(*VIF_SQL) + "SELECT feature, round(vif, 6) + 0.0 AS vif, vif >= 10 AS high_vif FROM vf")
+def q_vif_filter(spark, sf_dir):
+    v = C.vif_filter(C.vif(train(spark, sf_dir), VIF3), 10.0)
+    return v.select("feature", rnd("vif", 6).alias("vif"), "high_vif")
