@@ -712,3 +712,237 @@ def q_vif(spark, sf_dir):
 def q_vif_filter(spark, sf_dir):
     v = C.vif_filter(C.vif(train(spark, sf_dir), VIF3), 10.0)
     return v.select("feature", rnd("vif", 6).alias("vif"), "high_vif")
+
+
+# ============================================================ D: stability
+def train_test(spark, sf_dir):
+    d = roles(spark, sf_dir)
+    return d.where(F.col("source") == "Train"), d.where(F.col("source") == "Test")
+
+
+@register("psi_equal_width", S.with_(
+    *EW_SQL,
+    "bl AS (SELECT ew.feature, CAST(i AS INTEGER) AS bin FROM ew, range(0, 100) t(i) WHERE i < len(e) - 1)",
+    "cnt AS (SELECT src, feature, bin, count(*) AS n FROM (SELECT CASE WHEN u.source = 'Train' THEN 'E' ELSE 'A' END AS src, "
+    f"u.feature, {S.cut_sql('u.x', 'ew.e', False)} AS bin FROM "
+    + S.unpivot("(SELECT * FROM r WHERE source IN ('Train', 'Test'))", EW, ["source"], cast="DOUBLE")
+    + " u JOIN ew ON u.feature = ew.feature) WHERE bin IS NOT NULL GROUP BY ALL)",
+    "sh AS (SELECT *, n / sum(n) OVER (PARTITION BY src, feature) AS share FROM cnt)",
+    "j AS (SELECT bl.feature, coalesce(e.share, 0.0) AS e, coalesce(a.share, 0.0) AS a FROM bl "
+    "LEFT JOIN sh e ON e.src = 'E' AND e.feature = bl.feature AND e.bin = bl.bin "
+    "LEFT JOIN sh a ON a.src = 'A' AND a.feature = bl.feature AND a.bin = bl.bin)")
+    + "SELECT feature, CASE WHEN sum(CASE WHEN e > 0 AND a > 0 THEN 0 ELSE 1 END) = 0 THEN "
+      "round(sum(CASE WHEN e > 0 AND a > 0 THEN (e - a) * ln(e / a) END), 6) + 0.0 END AS psi, "
+      "CAST(sum(CASE WHEN e > 0 AND a > 0 THEN 0 ELSE 1 END) AS BIGINT) AS n_nonfinite FROM j GROUP BY feature")
+def q_psi_equal_width(spark, sf_dir):
+    base, cur = train_test(spark, sf_dir)
+    return D.psi_equal_width(base, cur, EW, 10)
+
+
+def csi_sql(cnt_cte: str) -> list[str]:
+    return [cnt_cte,
+            "sh AS (SELECT *, n / sum(n) OVER (PARTITION BY source, feature) AS share FROM cnt)",
+            "j AS (SELECT coalesce(e.feature, a.feature) AS feature, coalesce(e.share, 0.0) AS e, coalesce(a.share, 0.0) AS a "
+            "FROM (SELECT * FROM sh WHERE source = 'Train') e FULL OUTER JOIN (SELECT * FROM sh WHERE source = 'Test') a "
+            "ON e.feature = a.feature AND e.k = a.k)",
+            "csi AS (SELECT feature, round(sum(CASE WHEN a > 0 AND e > 0 THEN (a - e) * ln(a / e) ELSE 0.0 END), 4) + 0.0 AS csi "
+            "FROM j GROUP BY feature)"]
+
+
+CSI_NUM_CNT = ("cnt AS (SELECT source, feature, CAST(bin AS VARCHAR) AS k, count(*) AS n FROM (SELECT u.source, u.feature, "
+               f"{S.hist_sql('u.x', 'de.q')} AS bin FROM "
+               + S.unpivot("(SELECT * FROM r WHERE source IN ('Train', 'Test'))", DEC, ["source"], cast="DOUBLE")
+               + " u JOIN de ON u.feature = de.feature) WHERE bin IS NOT NULL GROUP BY ALL)")
+CSI_CAT_CNT = ("cnt AS (SELECT source, feature, level AS k, count(*) AS n FROM "
+               + S.unpivot("(SELECT * FROM r WHERE source IN ('Train', 'Test'))", CATEGORICAL, ["source"], value="level",
+                           cast="VARCHAR") + " GROUP BY ALL)")
+
+
+@register("csi_numeric", S.with_(DEC_SQL, *csi_sql(CSI_NUM_CNT)) + "SELECT * FROM csi")
+def q_csi_numeric(spark, sf_dir):
+    return D.csi_numeric(roles(spark, sf_dir), DEC)
+
+
+@register("csi_categorical", S.with_(*csi_sql(CSI_CAT_CNT)) + "SELECT * FROM csi")
+def q_csi_categorical(spark, sf_dir):
+    return D.csi_categorical(roles(spark, sf_dir), CATEGORICAL)
+
+
+_csi_cat2 = [c.replace("sh AS", "sh2 AS").replace("FROM cnt)", "FROM cnt2)").replace("cnt AS", "cnt2 AS")
+             .replace("FROM sh WHERE", "FROM sh2 WHERE").replace("j AS", "j2 AS").replace("csi AS", "csi2 AS")
+             .replace("FROM j GROUP", "FROM j2 GROUP") for c in csi_sql(CSI_CAT_CNT)]
+
+
+@register("csi_report", S.with_(DEC_SQL, *csi_sql(CSI_NUM_CNT), *_csi_cat2) +
+          "SELECT * FROM csi UNION ALL SELECT * FROM csi2")
+def q_csi_report(spark, sf_dir):
+    return D.csi_report(roles(spark, sf_dir), DEC, CATEGORICAL)
+
+
+CSI_DETAIL_SQL = (
+    "pk AS (SELECT source, feature, coalesce(CAST(bin AS VARCHAR), level) AS bin_key, Pop_Percent FROM perf)",
+    "cd AS (SELECT feature, bin_key, max(Pop_Percent) FILTER (WHERE source = 'Test') AS Pop_Percent_Test, "
+    "max(Pop_Percent) FILTER (WHERE source = 'OOT') AS Pop_Percent_OOT, "
+    "max(Pop_Percent) FILTER (WHERE source = 'PDV') AS Pop_Percent_PDV FROM pk GROUP BY feature, bin_key)",
+    "cdt AS (SELECT *, " + ", ".join(
+        f"CASE WHEN Pop_Percent_Test IS NULL OR Pop_Percent_{s} IS NULL THEN NULL "
+        f"WHEN Pop_Percent_Test > 0 AND Pop_Percent_{s} > 0 THEN round((Pop_Percent_Test - Pop_Percent_{s}) * "
+        f"ln(Pop_Percent_Test / Pop_Percent_{s}), 4) + 0.0 WHEN Pop_Percent_Test = 0 AND Pop_Percent_{s} = 0 THEN NULL "
+        f"ELSE 0.0 END AS PSI_test_{s.lower()}" for s in ("OOT", "PDV")) + " FROM cd)")
+
+
+@register("csi_detail", S.with_(*binned_scored_sql(), *PERF_SQL, *CSI_DETAIL_SQL) + "SELECT * FROM cdt")
+def q_csi_detail(spark, sf_dir):
+    return D.csi_detail(perf_frame(spark, sf_dir))
+
+
+@register("csi_summary", S.with_(*binned_scored_sql(), *PERF_SQL, *CSI_DETAIL_SQL) +
+          "SELECT feature, round(sum(PSI_test_oot), 4) + 0.0 AS PSI_OOT, round(sum(PSI_test_pdv), 4) + 0.0 AS PSI_PDV "
+          "FROM cdt WHERE feature IS NOT NULL GROUP BY feature")
+def q_csi_summary(spark, sf_dir):
+    return D.csi_summary(D.csi_detail(perf_frame(spark, sf_dir)))
+
+
+BAND_TABLE_SQL = (
+    "bt0 AS (SELECT source, risk_band, count(*) AS Count, CAST(sum(y) AS BIGINT) AS Goods FROM bd "
+    "WHERE risk_band IS NOT NULL GROUP BY ALL)",
+    "pop AS (SELECT source, count(*) AS _pop FROM bd GROUP BY source)",
+    "nb AS (SELECT count(DISTINCT risk_band) AS nbase FROM bt0 WHERE source = 'Train')",
+    "bt1 AS (SELECT bt0.*, Count - Goods AS Bads, Count / _pop AS Population, "
+    "sum(Count - Goods) OVER (PARTITION BY bt0.source ORDER BY risk_band ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS Cum_Bads, "
+    "CASE WHEN sum(Count - Goods) OVER (PARTITION BY bt0.source) <> 0 THEN (Count - Goods) / sum(Count - Goods) OVER (PARTITION BY bt0.source) END AS Cum_Bads_pct, "
+    "row_number() OVER (PARTITION BY bt0.source ORDER BY risk_band) AS _i FROM bt0 JOIN pop ON bt0.source = pop.source)",
+    "bt2 AS (SELECT *, round(sum(Cum_Bads_pct) OVER (PARTITION BY source ORDER BY risk_band ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 100.0, 4) + 0.0 AS Gain, "
+    "_i * (100.0 / nbase) AS lift_per_band FROM bt1, nb)",
+    "bt AS (SELECT b.source, b.risk_band, CAST(b.Count AS BIGINT) AS Count, b.Goods, CAST(b.Bads AS BIGINT) AS Bads, "
+    "round(b.Population, 6) + 0.0 AS Population, CAST(b.Cum_Bads AS BIGINT) AS Cum_Bads, round(b.Cum_Bads_pct, 6) + 0.0 AS Cum_Bads_pct, "
+    "b.Gain, round(b.lift_per_band, 6) + 0.0 AS lift_per_band, round(CASE WHEN b.lift_per_band <> 0 THEN b.Gain / b.lift_per_band END, 6) + 0.0 AS Lift, "
+    "round(CASE WHEN t.Population > 0 AND b.Population > 0 THEN (t.Population - b.Population) * ln(t.Population / b.Population) ELSE 0.0 END, 6) + 0.0 AS PSI "
+    "FROM bt2 b LEFT JOIN (SELECT risk_band, Population FROM bt2 WHERE source = 'Train') t ON b.risk_band = t.risk_band)")
+
+
+def band_frame(spark, sf_dir):
+    d = scored(spark, sf_dir)
+    b = B.assign_risk_band(d, train_band_edges(d), "score")
+    return D.band_table(b, "risk_band", "y")
+
+
+@register("band_psi", S.with_(*BANDS_SQL, *BAND_TABLE_SQL) + "SELECT * FROM bt")
+def q_band_psi(spark, sf_dir):
+    return band_frame(spark, sf_dir)
+
+
+@register("band_psi_total", S.with_(*BANDS_SQL, *BAND_TABLE_SQL) +
+          "SELECT source, round(sum(PSI), 6) + 0.0 AS PSI FROM bt GROUP BY source")
+def q_band_psi_total(spark, sf_dir):
+    return D.band_psi_total(band_frame(spark, sf_dir))
+
+
+# ============================================================ E: performance
+CM_SQL = ("cm AS (SELECT source, " + ", ".join(
+    f"CAST(sum(CASE WHEN CAST(y AS INTEGER) = {a} AND pred = {p} THEN 1 ELSE 0 END) AS BIGINT) AS {n}"
+    for a, p, n in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp"))) + " FROM sc GROUP BY source)",
+    "cma AS (SELECT *, (coalesce(CASE WHEN tp + fn <> 0 THEN tp / (tp + fn) END, 0.0) + "
+    "coalesce(CASE WHEN tn + fp <> 0 THEN tn / (tn + fp) END, 0.0)) / 2 AS auc FROM cm)")
+
+
+@register("confusion_matrix", S.with_(RP, SC, *CM_SQL) + "SELECT source, tn, fp, fn, tp FROM cm")
+def q_confusion_matrix(spark, sf_dir):
+    return E.confusion_matrix(scored(spark, sf_dir), "y", "pred", ["source"])
+
+
+def _cr_sql() -> str:
+    def cls(label, tp, fp, fn):
+        prec = f"coalesce(CASE WHEN {tp} + {fp} <> 0 THEN {tp} / ({tp} + {fp}) END, 0.0)"
+        rec = f"coalesce(CASE WHEN {tp} + {fn} <> 0 THEN {tp} / ({tp} + {fn}) END, 0.0)"
+        f1 = f"coalesce(CASE WHEN ({prec}) + ({rec}) <> 0 THEN 2 * ({prec}) * ({rec}) / (({prec}) + ({rec})) END, 0.0)"
+        return (f"SELECT source, '{label}' AS label, {prec} AS precision, {rec} AS recall, {f1} AS f1, "
+                f"CAST({tp} + {fn} AS DOUBLE) AS support FROM cm")
+    return f"per AS ({cls('0', 'tn', 'fn', 'fp')} UNION ALL {cls('1', 'tp', 'fp', 'fn')})"
+
+
+@register("classification_report", S.with_(RP, SC, *CM_SQL, _cr_sql(),
+    "allr AS (SELECT * FROM per UNION ALL "
+    "SELECT source, 'accuracy', NULL, NULL, coalesce(CASE WHEN tn + fp + fn + tp <> 0 THEN (tn + tp) / (tn + fp + fn + tp) END, 0.0), "
+    "CAST(tn + fp + fn + tp AS DOUBLE) FROM cm UNION ALL "
+    "SELECT source, 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM per GROUP BY source UNION ALL "
+    "SELECT source, 'weighted avg', coalesce(sum(precision * support) / nullif(sum(support), 0), 0.0), "
+    "coalesce(sum(recall * support) / nullif(sum(support), 0), 0.0), coalesce(sum(f1 * support) / nullif(sum(support), 0), 0.0), "
+    "sum(support) FROM per GROUP BY source)")
+    + "SELECT source, label, round(precision, 6) + 0.0 AS precision, round(recall, 6) + 0.0 AS recall, "
+      "round(f1, 6) + 0.0 AS f1, CAST(support AS BIGINT) AS support FROM allr")
+def q_classification_report(spark, sf_dir):
+    cm = E.confusion_matrix(scored(spark, sf_dir), "y", "pred", ["source"])
+    return E.classification_report(cm, ["source"])
+
+
+@register("auc_hard", S.with_(RP, SC, *CM_SQL) + "SELECT source, round(auc, 6) + 0.0 AS auc FROM cma")
+def q_auc_hard(spark, sf_dir):
+    cm = E.auc_hard(E.confusion_matrix(scored(spark, sf_dir), "y", "pred", ["source"]))
+    return cm.select("source", rnd("auc", 6).alias("auc"))
+
+
+KS_SQL = ("k0 AS (SELECT source, score, count(*) AS n, sum(y) AS t FROM sc GROUP BY ALL)",
+          "k1 AS (SELECT *, sum(n) OVER w AS cn, sum(t) OVER w AS ct, sum(n) OVER (PARTITION BY source) AS tn, "
+          "sum(t) OVER (PARTITION BY source) AS tt FROM k0 WINDOW w AS (PARTITION BY source ORDER BY score "
+          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))",
+          "k2 AS (SELECT *, CASE WHEN tt <> 0 THEN ct / tt END AS cum_target_pct, "
+          "CASE WHEN tn - tt <> 0 THEN (cn - ct) / (tn - tt) END AS cum_non_target_pct FROM k1)",
+          "k3 AS (SELECT *, abs(cum_target_pct - cum_non_target_pct) AS ks FROM k2)")
+
+
+@register("ks", S.with_(RP, SC, *KS_SQL) + "SELECT source, round(max(ks), 6) + 0.0 AS ks FROM k3 GROUP BY source")
+def q_ks(spark, sf_dir):
+    return E.ks(scored(spark, sf_dir), "score", "y", ["source"]).select("source", rnd("ks", 6).alias("ks"))
+
+
+@register("ks_curve", S.with_(RP, SC, *KS_SQL) +
+          "SELECT round(score, 6) + 0.0 AS score, CAST(cn AS BIGINT) AS cum_population, CAST(ct AS BIGINT) AS cum_target, "
+          "CAST(cn - ct AS BIGINT) AS cum_non_target, round(cn / tn, 6) + 0.0 AS cum_population_pct, "
+          "round(cum_target_pct, 6) + 0.0 AS cum_target_pct, round(cum_non_target_pct, 6) + 0.0 AS cum_non_target_pct, "
+          "round(ks, 6) + 0.0 AS ks FROM k3 WHERE source = 'Train'")
+def q_ks_curve(spark, sf_dir):
+    c = E.ks_curve(train(spark, sf_dir), "score", "y")
+    return c.select(rnd("score", 6).alias("score"), "cum_population", "cum_target", "cum_non_target",
+                    *[rnd(x, 6).alias(x) for x in ("cum_population_pct", "cum_target_pct", "cum_non_target_pct", "ks")])
+
+
+@register("ks_table", S.with_(*SDE_SQL,
+    f"kb AS (SELECT {S.cut_sql('t.score', 'sde.e')} AS bin, CAST(CASE WHEN t.y = 0.0 THEN 1 ELSE 0 END AS BIGINT) AS tg "
+    f"FROM {TRAIN} t, sde)",
+    "kg AS (SELECT bin, sum(tg) AS TARGET, count(*) AS TOTAL FROM kb WHERE bin IS NOT NULL GROUP BY bin)",
+    "kw AS (SELECT *, TOTAL - TARGET AS NONTARGET, sum(TARGET) OVER () AS _tt, sum(TOTAL - TARGET) OVER () AS _tn, "
+    "sum(TOTAL) OVER () AS _n, sum(TARGET) OVER w AS Cumulative_Target, sum(TOTAL - TARGET) OVER w AS Cumulative_NonTarget, "
+    "sum(TOTAL) OVER w AS Cumulative_Total FROM kg WINDOW w AS (ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))",
+    "kx AS (SELECT kw.*, round(TOTAL / _n * 100, 2) + 0.0 AS pop, round(CASE WHEN _tt <> 0 THEN Cumulative_Target / _tt END * 100, 2) + 0.0 AS gain, "
+    "round(CASE WHEN _tn <> 0 THEN Cumulative_NonTarget / _tn END * 100, 2) + 0.0 AS nont, sde.e FROM kw, sde)")
+    + "SELECT bin AS DECILE, e[bin + 1] AS score_lo, e[bin + 2] AS score_hi, CAST(TARGET AS BIGINT) AS TARGET, "
+      "CAST(NONTARGET AS BIGINT) AS NONTARGET, CAST(TOTAL AS BIGINT) AS TOTAL, pop AS Population_pct, "
+      "round(CASE WHEN _tt <> 0 THEN TARGET / _tt END * 100, 2) + 0.0 AS BAD_CAPTURED, CAST(Cumulative_Target AS BIGINT) AS Cumulative_Target, "
+      "CAST(Cumulative_NonTarget AS BIGINT) AS Cumulative_NonTarget, CAST(Cumulative_Total AS BIGINT) AS Cumulative_Total, "
+      "gain AS Cumulative_Target_pct, nont AS Cumulative_NonTarget_pct, round(gain - nont, 2) + 0.0 AS KS, "
+      "round(CASE WHEN pop <> 0 THEN gain / pop END, 6) + 0.0 AS CumulativeLift FROM kx")
+def q_ks_table(spark, sf_dir):
+    return E.ks_table(train(spark, sf_dir), "score", "y", bad=0.0, bins=10)
+
+
+@register("gain_lift", S.with_(*BANDS_SQL, *BAND_TABLE_SQL) +
+          "SELECT risk_band, Count, Goods, Bads, Cum_Bads, Cum_Bads_pct, Gain, lift_per_band, Lift FROM bt WHERE source = 'Test'")
+def q_gain_lift(spark, sf_dir):
+    return band_frame(spark, sf_dir).where(F.col("source") == "Test").select(
+        "risk_band", "Count", "Goods", "Bads", "Cum_Bads", "Cum_Bads_pct", "Gain", "lift_per_band", "Lift")
+
+
+@register("accuracy_summary", S.with_(RP, SC, *CM_SQL, *KS_SQL) +
+          "SELECT cma.source, round(auc, 5) + 0.0 AS auc, round(k.ks, 5) + 0.0 AS ks FROM cma JOIN "
+          "(SELECT source, max(ks) AS ks FROM k3 GROUP BY source) k ON cma.source = k.source "
+          "WHERE cma.source IN ('Test', 'OOT', 'PDV')")
+def q_accuracy_summary(spark, sf_dir):
+    return E.accuracy_summary(scored(spark, sf_dir), "score", "y", "pred")
+
+
+@register("role_comparison", S.with_(RP, SC, *CM_SQL) +
+          "SELECT source, tn, fp, fn, tp, round(auc, 4) + 0.0 AS auc, "
+          "round(CASE WHEN tn + fp + fn + tp <> 0 THEN (tn + tp) / (tn + fp + fn + tp) END, 4) + 0.0 AS accuracy FROM cma")
+def q_role_comparison(spark, sf_dir):
+    return E.role_comparison(scored(spark, sf_dir), "y", "pred")
