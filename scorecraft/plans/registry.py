@@ -946,3 +946,180 @@ def q_accuracy_summary(spark, sf_dir):
           "round(CASE WHEN tn + fp + fn + tp <> 0 THEN (tn + tp) / (tn + fp + fn + tp) END, 4) + 0.0 AS accuracy FROM cma")
 def q_role_comparison(spark, sf_dir):
     return E.role_comparison(scored(spark, sf_dir), "y", "pred")
+
+
+# ============================================================ M: modelling
+from ..operators import distcheck as DC  # noqa: E402
+from ..operators import model as M  # noqa: E402
+
+RS = VIF3 + ["l_tax"]
+
+
+@register("robust_scale", S.with_(
+    f"rq AS (SELECT feature, quantile_cont(x, [0.25, 0.5, 0.75]) AS q FROM {S.unpivot(TRAIN, RS, [], cast='DOUBLE')} GROUP BY feature)",
+    "rp2 AS (SELECT feature, q[2] AS med, CASE WHEN q[3] - q[1] <> 0 THEN q[3] - q[1] ELSE 1.0 END AS iqr FROM rq)")
+    + "SELECT rp2.feature, round(med, 6) + 0.0 AS median, round(iqr, 6) + 0.0 AS iqr, "
+      "round(avg((coalesce(u.x, med) - med) / iqr), 6) + 0.0 AS scaled_mean FROM rp2 JOIN "
+      f"(UNPIVOT (SELECT {', '.join(f'coalesce({c}, -1e308) AS {c}' for c in RS)} FROM {TRAIN}) ON {', '.join(RS)} "
+      "INTO NAME feature VALUE x0) v ON v.feature = rp2.feature, LATERAL (SELECT CASE WHEN v.x0 = -1e308 THEN NULL ELSE v.x0 END AS x) u "
+      "GROUP BY rp2.feature, med, iqr")
+def q_robust_scale(spark, sf_dir):
+    t = train(spark, sf_dir)
+    params = M.robust_scaler(t, RS)
+    d = M.robust_scale(t, params)
+    means = d.agg(*[F.avg(c).alias(c) for c in RS])
+    return means.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("feature"), rnd(F.lit(params[c][0]), 6).alias("median"),
+        rnd(F.lit(params[c][1]), 6).alias("iqr"), rnd(F.col(c), 6).alias("scaled_mean")) for c in RS])))
+
+
+@register("ordinal_encode", S.with_() +
+          "SELECT feature, level, CAST(dense_rank() OVER (PARTITION BY feature ORDER BY level) - 1 AS INTEGER) AS code FROM "
+          "(SELECT DISTINCT feature, level FROM " + S.unpivot(
+              "(SELECT " + ", ".join(f"coalesce({c}, 'missing') AS {c}" for c in CATEGORICAL) + f" FROM {TRAIN})",
+              CATEGORICAL, [], value="level") + ")")
+def q_ordinal_encode(spark, sf_dir):
+    return M.ordinal_table(train(spark, sf_dir), CATEGORICAL)
+
+
+MNUM = ["l_quantity", "l_discount", "l_tax", "p_size"]
+MCAT = ["p_type", "l_linestatus", "c_mktsegment"]
+
+
+@register("one_hot")
+def q_one_hot(spark, sf_dir):
+    t = P.impute_categorical(train(spark, sf_dir), MCAT)
+    pm = Pipeline(stages=M.one_hot_stages(MCAT, "features")).fit(t)
+    names = M.one_hot_names(pm, MCAT)
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "slot int, name string")
+
+
+def _card(spark, sf_dir, **kw):
+    return M.build_scorecard(train(spark, sf_dir), MNUM, MCAT, "y", alpha=0.8, bins=5, **kw)
+
+
+@register("logit_l1")
+def q_logit_l1(spark, sf_dir):
+    card = _card(spark, sf_dir)
+    return M.coefficient_table(spark, M.lr_stage(card), card.names)
+
+
+@register("coefficient_table")
+def q_coefficient_table(spark, sf_dir):
+    card = _card(spark, sf_dir)
+    return M.coefficient_table(spark, M.lr_stage(card), card.names).where(F.col("coefficient") != 0)
+
+
+@register("score")
+def q_score(spark, sf_dir):
+    card = _card(spark, sf_dir)
+    s = M.apply_scorecard(roles(spark, sf_dir), card)
+    return s.select("l_orderkey", "l_linenumber", "source", rnd("p", 6).alias("p"), "pred", "risk_band")
+
+
+@register("first_model")
+def q_first_model(spark, sf_dir):
+    card = _card(spark, sf_dir)
+    s = M.apply_scorecard(scored(spark, sf_dir).drop("pred"), card)
+    cm = E.auc_hard(E.confusion_matrix(s, "y", "pred", ["source"]))
+    bands = s.groupBy("source").agg(F.count("risk_band").alias("banded"), F.count(F.lit(1)).alias("rows"))
+    return cm.join(bands, "source").select("source", "tn", "fp", "fn", "tp", rnd("auc", 4).alias("auc"), "banded", "rows")
+
+
+@register("inference_table")
+def q_inference_table(spark, sf_dir):
+    card = _card(spark, sf_dir)
+    t = train(spark, sf_dir)
+    s = M.score(card.pipeline, M._prepare(t, card))
+    return M.inference_table(spark, s, M.lr_stage(card), card.names)
+
+
+REFINE_EDGES = {"l_quantity": [0.0, 10.0, 25.0, 40.0, 50.0]}
+REFINE_BANDS = [0.0, 0.1, 0.2, 0.35, 0.5, 0.65, 0.75, 0.9, 0.95, 1.0]
+
+
+@register("refined_model")
+def q_refined_model(spark, sf_dir):
+    card = _card(spark, sf_dir, custom_edges=REFINE_EDGES, groups={"p_type": GROUPS},
+                 transforms={"l_tax": "sqrt"}, bands=REFINE_BANDS)
+    s = M.apply_scorecard(roles(spark, sf_dir), card)
+    return s.groupBy("source", "risk_band").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("logit_l2")
+def q_logit_l2(spark, sf_dir):
+    t = train(spark, sf_dir)
+    v, feats = M.selection_frame(t, MNUM, MCAT)
+    try:
+        m = M.logistic("l2", C=0.1, n_rows=v.count()).fit(v)
+        return M.coefficient_table(spark, m, feats)
+    finally:
+        v.unpersist()
+
+
+@register("woe_model")
+def q_woe_model(spark, sf_dir):
+    m, cols, _, _ = M.build_woe_model(train(spark, sf_dir), MNUM, MCAT)
+    return M.coefficient_table(spark, m, cols)
+
+
+def _select_q(kind):
+    def q(spark, sf_dir):
+        t = train(spark, sf_dir)
+        v, feats = M.selection_frame(t, NUMERIC, CATEGORICAL)
+        try:
+            n = M.default_n_features(len(feats))
+            if kind == "rfe":
+                out = [(f, None) for f in M.rfe(v, feats, n)]
+            elif kind == "l1":
+                out = M.l1_select(v, feats, n)
+            else:
+                out = [(f, None) for f in M.sequential_select(v, feats, 2 if kind == "forward" else len(feats) - 2,
+                                                              kind, folds=3)]
+        finally:
+            v.unpersist()
+        return spark.createDataFrame(out, "feature string, coefficient double")
+    return q
+
+
+register("rfe")(_select_q("rfe"))
+register("l1_select")(_select_q("l1"))
+register("forward_select")(_select_q("forward"))
+register("backward_select")(_select_q("backward"))
+
+
+@register("tune")
+def q_tune(spark, sf_dir):
+    """Sampled grid (C x penalty) scored by ROC AUC in k-fold CV."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    t = train(spark, sf_dir)
+    v, feats = M.selection_frame(t, MNUM, MCAT)
+    try:
+        n = v.count()
+        lr = M.logistic("l2", C=1.0, n_rows=n)
+        grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n) for c in (0.001, 0.1, 10.0)]) \
+            .addGrid(lr.elasticNetParam, [0.0, 1.0]).build()
+        cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=3, seed=144, parallelism=4,
+                            evaluator=BinaryClassificationEvaluator(labelCol="y"))
+        m = cv.fit(v)
+        rows = [(float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), float(a))
+                for pm, a in zip(grid, m.avgMetrics)]
+    finally:
+        v.unpersist()
+    return spark.createDataFrame(rows, "reg_param double, elastic_net double, auc double")
+
+
+def _dc_q(method):
+    def q(spark, sf_dir):
+        d = roles(spark, sf_dir)
+        return DC.distribution_check(d.where(F.col("source") == "Train"), d.where(F.col("source") == "OOT"),
+                                     MNUM, MCAT, method)
+    return q
+
+
+register("distribution_check_nb")(_dc_q("GaussianNB"))
+register("distribution_check_lda")(_dc_q("LinearDiscriminantAnalysis"))
+register("distribution_check_qda")(_dc_q("QuadraticDiscriminantAnalysis"))
+
+from pyspark.ml import Pipeline  # noqa: E402
