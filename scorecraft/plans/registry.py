@@ -1123,3 +1123,35 @@ register("distribution_check_lda")(_dc_q("LinearDiscriminantAnalysis"))
 register("distribution_check_qda")(_dc_q("QuadraticDiscriminantAnalysis"))
 
 from pyspark.ml import Pipeline  # noqa: E402
+
+
+# ============================================================ S / F: sources, sinks, flows
+from ..config import ScorecardConfig  # noqa: E402
+from ..plans import flows as FL  # noqa: E402
+from ..sources import io as IO  # noqa: E402
+
+FLOW_CFG = ScorecardConfig(target="loan_status", bad_values=BAD_VALUES,
+                           exclude=("l_orderkey", "l_linenumber", "l_shipdate", "yTarget", "y", "score"))
+
+
+@register("save_stage")
+def q_save_stage(spark, sf_dir):
+    """The role-tagged loan view written to the shared checkpoint folder and read back."""
+    back = IO.save_stage(roles(spark, sf_dir).select("source", *FEATS, "loan_status"), "loans_roles")
+    return back.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("prepare_data")
+def q_prepare_data(spark, sf_dir):
+    """prepared rows (exclusions, dedup, target, drops, imputation) as a stage table."""
+    st = FL.prepare_data(roles(spark, sf_dir), FLOW_CFG)
+    return st.data.groupBy("source", "yTarget").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("reduce_variables")
+def q_reduce_variables(spark, sf_dir):
+    """the IV table after the IV / Cramér's V / VIF screens, with the kept flag."""
+    st = FL.prepare_data(roles(spark, sf_dir), FLOW_CFG)
+    red = FL.reduce_variables(st, FLOW_CFG)
+    kept = set(red.numeric) | set(red.categorical)
+    return red.reports["iv"].withColumn("kept", F.col("feature").isin(*kept) if kept else F.lit(False))
