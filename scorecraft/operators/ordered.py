@@ -165,24 +165,18 @@ def _rank_hits(dist: DataFrame, gk: list[str], probs: list[float],
     next one; at most 2 x #probs rows per group come back.
     """
     rt = running_totals(dist, gk, "x", ["_c"], rows_per_bucket, pre_aggregated=True)
-    parr = F.array(*[F.lit(p) for p in probs])
-
-    def p_at(i):
-        return F.element_at(parr, i + 1)
     n1 = F.col("tot__c") - 1
     start = F.col("cum__c") - F.col("_c")
     end = F.col("cum__c")
-    idx = F.sequence(F.lit(0), F.lit(len(probs) - 1))
-    hits = rt.select(
-        *gk, "x",
-        F.filter(
-            F.transform(idx, lambda i: F.struct(
-                i.alias("i"),
-                F.floor(p_at(i) * n1).alias("lo"),
-                F.least(F.floor(p_at(i) * n1) + 1, n1).alias("hi"),
-                (p_at(i) * n1 - F.floor(p_at(i) * n1)).alias("frac"))),
-            lambda t: ((t["lo"] >= start) & (t["lo"] < end)) | ((t["hi"] >= start) & (t["hi"] < end))
-        ).alias("_t"))
-    return (hits.where(F.size("_t") > 0)
-            .select(*gk, "x", F.inline("_t"))
+    structs, any_hit = [], None
+    for i, p in enumerate(probs):
+        pos = F.lit(p) * n1
+        lo = F.floor(pos)
+        hi = F.least(lo + 1, n1)
+        hit = ((lo >= start) & (lo < end)) | ((hi >= start) & (hi < end))
+        any_hit = hit if any_hit is None else (any_hit | hit)
+        structs.append(F.struct(F.lit(i).alias("i"), (pos - lo).alias("frac"), hit.alias("hit")))
+    # plain (codegen) predicate first; the array is only built on the few matching rows
+    hits = rt.where(any_hit).select(*gk, "x", F.filter(F.array(*structs), lambda t: t["hit"]).alias("_t"))
+    return (hits.select(*gk, "x", F.inline("_t"))
             .select(*gk, "x", "i", "frac"))
