@@ -68,8 +68,12 @@ def rebalance_small_scan(df: DataFrame) -> DataFrame:
     only a tiny single-split scan gets a cheap round-robin shuffle so the
     joins and partial aggregates after it run on every core.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < max(2, par // 2):
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave the scan as is
+        return df
+    if splits < max(2, par // 2):
         return df.repartition(par)
     return df
 
