@@ -19,3 +19,35 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGI
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+_BACK = "chr(92)"
+ORACLE["op5_chat"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, n, r, {_BACK} || '### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, r)),
+shown AS (
+  SELECT *, replace(replace(role, {_BACK}, {_BACK}||{_BACK}), '<|', {_BACK}||'<|') AS er,
+            replace(replace(text, {_BACK}, {_BACK}||{_BACK}), '<|', {_BACK}||'<|') AS et FROM turns),
+whole AS (
+  SELECT conv_id, count(*) AS n,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+         sum(length('<|turn|>' || er || '<|says|>' || et || '<|end|>')) AS chars
+  FROM shown GROUP BY conv_id)
+SELECT conv_id, n::BIGINT AS n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+       sha256(loss) AS loss_sha256, chars::BIGINT AS formatted_chars
+FROM whole
+"""
+
+ORACLE["op7_topk"] = """
+WITH parts AS (
+  SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+  WHERE len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0),
+v AS (SELECT vec_id, i, floor(1024 * x::DOUBLE)::BIGINT AS x FROM parts),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.i = c.i AND q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id GROUP BY 1, 2)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 10
+"""

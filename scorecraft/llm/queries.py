@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorecraft.llm import line_dedup
+from scorecraft.llm import chat, line_dedup, mixing, topk
 from scorecraft.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,23 @@ def query(name: str):
 @query("op1_line_dedup")
 def op1_line_dedup(spark, sf_dir):
     return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
+@query("op2_mixing")
+def op2_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op5_chat")
+def op5_chat(spark, sf_dir):
+    said = "\\### Assistant: </turn> ok"
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                    "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return chat.read_back(chat.format_conversations(turns))
+
+
+@query("op7_topk")
+def op7_topk(spark, sf_dir):
+    vectors = topk.scaled(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors.where("vec_id % 100 = 0"), vectors, 10)
