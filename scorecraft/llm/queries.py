@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorecraft.llm import chat, line_dedup, mixing, topk
+from scorecraft.llm import chat, line_dedup, mixing, simhash, topk
 from scorecraft.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,8 @@ def op5_chat(spark, sf_dir):
 def op7_topk(spark, sf_dir):
     vectors = topk.scaled(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors.where("vec_id % 100 = 0"), vectors, 10)
+
+
+@query("op3_simhash")
+def op3_simhash(spark, sf_dir):
+    return simhash.edit_report(table(spark, sf_dir, "documents"))

@@ -144,10 +144,11 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest integer products of each
     query with the vectors of other ids. Both frames as ``scaled`` gives them."""
     n, m = vectors.count(), queries.count()
-    n_buckets, n_blocks = max(1, -(-n // BUCKET_ROWS)), max(1, -(-m // BLOCK_ROWS))
+    n_blocks = max(1, -(-m // BLOCK_ROWS))
     norm = F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
-    buckets = staged(vectors.withColumn("norm", norm).repartitionByRange(n_buckets, F.desc("norm"), "vec_id")
+    buckets = staged(vectors.withColumn("norm", norm).repartitionByRange(max(1, -(-n // BUCKET_ROWS)), F.desc("norm"), "vec_id")
                      .withColumn("bucket", F.spark_partition_id()), "buckets")
+    n_buckets = (buckets.agg(F.max("bucket")).first()[0] or 0) + 1
     qs = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
     # one sequence per side: each candidate meets each block of the stated queries
     grid = buckets.select("bucket", "vec_id", "v", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
