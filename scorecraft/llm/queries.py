@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorecraft.llm import chat, line_dedup, mixing, simhash, topk
+from scorecraft.llm import chat, line_dedup, mixing, packing, simhash, topk
 from scorecraft.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op7_topk(spark, sf_dir):
 @query("op3_simhash")
 def op3_simhash(spark, sf_dir):
     return simhash.edit_report(table(spark, sf_dir, "documents"))
+
+
+@query("op4_packing")
+def op4_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents")).drop("_th")
