@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorecraft.llm import chat, line_dedup, mixing, packing, simhash, topk
+from scorecraft.llm import chat, html_extract, line_dedup, mixing, packing, quality, simhash, topk
 from scorecraft.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,13 @@ def op3_simhash(spark, sf_dir):
 @query("op4_packing")
 def op4_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents")).drop("_th")
+
+
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_html")
+def op9_html(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
