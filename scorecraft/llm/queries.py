@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorecraft.llm import chat, html_extract, line_dedup, mixing, packing, quality, simhash, topk
+from scorecraft.llm import (chat, html_extract, line_dedup, mixing, near_dedup, packing, quality, simhash,
+                            topk)
 from scorecraft.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +64,8 @@ def op6_quality(spark, sf_dir):
 @query("op9_html")
 def op9_html(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_order_minhash")
+def op10_order_minhash(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
