@@ -120,3 +120,24 @@ def bounded_batches(batches: Iterator[pa.RecordBatch], column: str, most: int =
             total += n
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def with_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_id`` and ``_th`` as ``keyed`` makes them, beside its own columns."""
+    return docs.withColumns({"_id": id_or_lowest(), "_th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+
+
+def arrow_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema) -> DataFrame:
+    """``mapInArrow`` of a function of one batch that keeps whole rows; ``schema`` is Spark's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for b in batches:
+            out = fn(b) if b.num_rows else b
+            yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+
+    return df.mapInArrow(run, schema)
+
+
+def set_column(batch: pa.RecordBatch, name: str, values) -> pa.RecordBatch:
+    at = batch.schema.get_field_index(name)
+    return batch.set_column(at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type))

@@ -28,7 +28,8 @@ from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorecraft.llm.common import ASCII_SPACE, arrow_map, arrow_stream, keyed, original_id, partitions
+from scorecraft.llm.common import (ASCII_SPACE, arrow_map, arrow_rows, arrow_stream, keyed, original_id, partitions,
+                                    set_column, with_keys)
 
 LINES = "h1 long, h2 long, nid long, _th long, pos int"
 EDGES = "pid int, h1 long[], h2 long[], first_id long[], last_id long[], n_docs long[]"
@@ -192,6 +193,23 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, text: s
                       F.col("_text").cast("string").alias("text"), "n_lines", "n_dropped")
 
 
+def cleaned(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+    """``docs`` with the repeated lines out of ``text`` and ``n_chars`` to match, all other columns as they were."""
+    joined = with_keys(docs).join(keep_bitmaps(keyed(docs), min_chars, min_docs), ["_id", "_th"], "left")
+
+    def cut(b: pa.RecordBatch) -> pa.RecordBatch:
+        texts, sizes = [], []
+        for t, n, bits in zip(b.column("text").to_pylist(), b.column("n_chars").to_pylist(), b.column("bitmap").to_pylist()):
+            if bits is not None:
+                t = b"\n".join(apply_bitmap(t.encode(), bits)[0]).decode()
+                n = len(t)
+            texts.append(t)
+            sizes.append(n)
+        return set_column(set_column(b, "text", texts), "n_chars", sizes).select(docs.columns)
+
+    return arrow_rows(joined.select(*docs.columns, "bitmap"), cut, docs.schema)
+
+
 def digest(deduped: DataFrame) -> DataFrame:
     return deduped.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 

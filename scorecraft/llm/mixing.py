@@ -21,6 +21,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorecraft.llm.common import original_id, staged
+from scorecraft.llm.common import arrow_rows, original_id, staged, with_keys
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -97,8 +98,9 @@ def _seated(shards: DataFrame, parent: list[str], child: str, quota: str) -> Dat
 
 
 def sized(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
-    """(_id, _source, size): words of every document."""
+    """(_id, _th, _source, size): words of every document."""
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("_id"),
+                       F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_th"),
                        F.col(source).cast("string").alias("_source"),
                        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
@@ -177,3 +179,40 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, size, source_size, target, taken) per document."""
     plan = mix_plan(sized(docs), **options)
     return plan.select(original_id().alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+_WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def words_between(text: str, a: int, b: int) -> str:
+    """Words [a, b) of a text with the white space between them; the whole text if that is all of them."""
+    data = text.encode()
+    found = list(_WORD_BYTES.finditer(data))
+    if a == 0 and b == len(found):
+        return text
+    return data[found[a].start():found[b - 1].end()].decode() if a < b else ""
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: the rows of ``docs``, all columns, as often as they are taken;
+    a document at the end of a run of blocks is cut to the words taken. Rows that
+    repeat both id and text count once."""
+    plan = mix_plan(sized(docs).dropDuplicates(["_id", "_th"]), **options).where("taken > 0")
+    rows = with_keys(docs).dropDuplicates(["_id", "_th"]).join(plan.select("_id", "_th", "times", "a1", "b1", "a2", "b2"), ["_id", "_th"])
+    text, n_chars = docs.columns.index("text"), docs.columns.index("n_chars")
+
+    def take(batch):
+        import pyarrow as pa
+
+        at, texts, sizes = [], [], []
+        cols = [batch.column(c).to_pylist() for c in ("text", "n_chars", "times", "a1", "b1", "a2", "b2")]
+        for i, (t, n, times, a1, b1, a2, b2) in enumerate(zip(*cols)):
+            parts = [t] * times + [words_between(t, a, b) for a, b in ((a2, b2), (a1, b1)) if a < b]
+            at += [i] * len(parts)
+            texts += parts
+            sizes += [n if p is t else len(p) for p in parts]
+        out = batch.select(docs.columns).take(pa.array(at, pa.int64()))
+        out = out.set_column(text, "text", pa.array(texts, pa.string()))
+        return out.set_column(n_chars, "n_chars", pa.array(sizes, pa.int64()))
+
+    return arrow_rows(rows, take, docs.schema)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorecraft.llm import crf
-from scorecraft.llm.common import arrow_stream, bounded_batches, keyed, original_id
+from scorecraft.llm.common import arrow_rows, arrow_stream, bounded_batches, keyed, original_id
 
 TRAIN_DOCS = 1500
 TRAIN_LINES = 120_000
@@ -138,6 +138,19 @@ def scored(docs: DataFrame, model: crf.Crf | float) -> DataFrame:
     return arrow_stream(keyed(docs), score, "_id long, _th long, score double")
 
 
+def accepted(docs: DataFrame, model: crf.Crf | float, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least ``least``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(b):
+        import pyarrow as pa
+
+        texts = [(t or "").encode() for t in b.column("text").to_pylist()]
+        return b.filter(pa.array(text_scores(shared.value, texts) >= least))
+
+    return arrow_rows(docs, keep, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) per document."""
     out = scored(docs, fit(docs, labels)).select(original_id().alias("doc_id"), "score")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorecraft.llm import (chat, html_extract, line_dedup, mixing, near_dedup, packing, quality, simhash,
-                            topk)
+                            substring_dedup, topk)
 from scorecraft.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op9_html(spark, sf_dir):
 @query("op10_order_minhash")
 def op10_order_minhash(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_suffix_array")
+def op8_suffix_array(spark, sf_dir):
+    return substring_dedup.digest(substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")))
