@@ -196,6 +196,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, text: s
 def cleaned(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """``docs`` with the repeated lines out of ``text`` and ``n_chars`` to match, all other columns as they were."""
     joined = with_keys(docs).join(keep_bitmaps(keyed(docs), min_chars, min_docs), ["_id", "_th"], "left")
+    columns = docs.columns
 
     def cut(b: pa.RecordBatch) -> pa.RecordBatch:
         texts, sizes = [], []
@@ -205,9 +206,9 @@ def cleaned(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFram
                 n = len(t)
             texts.append(t)
             sizes.append(n)
-        return set_column(set_column(b, "text", texts), "n_chars", sizes).select(docs.columns)
+        return set_column(set_column(b, "text", texts), "n_chars", sizes).select(columns)
 
-    return arrow_rows(joined.select(*docs.columns, "bitmap"), cut, docs.schema)
+    return arrow_rows(joined.select(*columns, "bitmap"), cut, docs.schema)
 
 
 def digest(deduped: DataFrame) -> DataFrame:

@@ -199,7 +199,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     repeat both id and text count once."""
     plan = mix_plan(sized(docs).dropDuplicates(["_id", "_th"]), **options).where("taken > 0")
     rows = with_keys(docs).dropDuplicates(["_id", "_th"]).join(plan.select("_id", "_th", "times", "a1", "b1", "a2", "b2"), ["_id", "_th"])
-    text, n_chars = docs.columns.index("text"), docs.columns.index("n_chars")
+    columns = docs.columns
+    text, n_chars = columns.index("text"), columns.index("n_chars")
 
     def take(batch):
         import pyarrow as pa
@@ -211,7 +212,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
             at += [i] * len(parts)
             texts += parts
             sizes += [n if p is t else len(p) for p in parts]
-        out = batch.select(docs.columns).take(pa.array(at, pa.int64()))
+        out = batch.select(columns).take(pa.array(at, pa.int64()))
         out = out.set_column(text, "text", pa.array(texts, pa.string()))
         return out.set_column(n_chars, "n_chars", pa.array(sizes, pa.int64()))
 
