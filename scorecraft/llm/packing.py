@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,10 @@ from scorecraft.llm.common import arrow_map, arrow_stream, bounded_batches, keye
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-MEMO_WORDS = 400_000
+MEMO_WORDS = 600_000
 MEMO_WORD_BYTES = 64
+JOINED = 256
+_MARKS = frozenset(".,!?:;")
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -50,32 +53,71 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and never merges across it, so a text's ids
-    are those of its pieces between spaces and line ends, one after the other.
-    Ids of short words are remembered; the memory is bounded and starts afresh
-    when full."""
+    The tokenizer lower-cases, drops white space and never merges across it or
+    between a letter and a mark. So a text's ids are those of its pieces between
+    spaces and line ends; those of a piece that ends in one mark after a letter are
+    its core's and the mark's; and plain words can be encoded many at a time, each
+    ending at a token that ends a word. Ids are remembered for short pieces and
+    cores; each memory is bounded and starts afresh when full."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.memo: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+        self.marks = {c: self._single([c])[0] for c in _MARKS}
+
+    def _single(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words of plain lower-case letters, encoded many to a string."""
+        out = []
+        for at in range(0, len(words), JOINED):
+            part = words[at:at + JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cut = np.flatnonzero(self.ends[ids]) + 1
+            if len(cut) != len(part):
+                raise ValueError("the tokenizer does not end each word with a token of its own")
+            blob, edge = ids.tobytes(), [0, *(4 * cut).tolist()]
+            out += [blob[a:b] for a, b in zip(edge, edge[1:])]
+        return out
+
+    @staticmethod
+    def _split(piece: str) -> tuple[str, str]:
+        """Core and mark. Letters below U+0250 are in normal form and, but for U+0130,
+        have one letter as their lower case."""
+        mark = piece[-1] if piece[-1:] in _MARKS and piece[-2:-1].isalpha() and piece[-2] < "\u0250" and piece[-2] != "\u0130" else ""
+        core = piece[:-1] if mark else piece
+        plain = core.isalpha() and max(core) < "\u0250" and "\u0130" not in core
+        return (core.lower(), mark) if plain else (core, mark)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = {w for ws in words for w in ws}
+        pieces = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.memo) > MEMO_WORDS:
             self.memo = {}
-        fresh = [w for w in fresh if w not in self.memo]
-        seen = {}
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at:at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                seen[w] = np.array(e.ids, "<u4").tobytes()
-        self.memo.update((w, v) for w, v in seen.items() if len(w) <= MEMO_WORD_BYTES)
-        if any(len(w) > MEMO_WORD_BYTES for w in fresh):
-            return [b"".join([self.memo.get(w) or seen.get(w, b"") for w in ws]) for ws in words]
-        return [b"".join([self.memo[w] for w in ws]) for ws in words]
+        if len(self.cores) > MEMO_WORDS:
+            self.cores = {}
+        fresh = list(set(filterfalse(self.memo.__contains__, chain.from_iterable(pieces))))
+        split = [self._split(p) for p in fresh]
+        new = [c for c in {c for c, _ in split} if c not in self.cores]
+        plain = [c for c in new if c.isalpha() and max(c) < "\u0250" and "\u0130" not in c]
+        seen = dict(zip(plain, self._plain(plain)))
+        rest = [c for c in new if c not in seen]
+        for at in range(0, len(rest), 4096):
+            seen.update(zip(rest[at:at + 4096], self._single(rest[at:at + 4096])))
+        self.cores.update((c, v) for c, v in seen.items() if len(c) <= MEMO_WORD_BYTES)
+        long = {}
+        for p, (c, mark) in zip(fresh, split):
+            ids = seen[c] if c in seen else self.cores[c]
+            (self.memo if len(p) <= MEMO_WORD_BYTES else long)[p] = ids + self.marks[mark] if mark else ids
+        if long:
+            return [b"".join([self.memo[p] if p in self.memo else long[p] for p in ps]) for ps in pieces]
+        return [b"".join(map(self.memo.__getitem__, ps)) for ps in pieces]
 
 
 def encoder(path: str) -> Encoder:
