@@ -258,7 +258,9 @@ def layout(sentences: list[str], rng: random.Random) -> str:
 def fit(pages: DataFrame, train_pages: int = TRAIN_PAGES, layouts: int = LAYOUTS, seed: int = 9) -> crf.Crf | None:
     """The chain trained on a bounded sample of the pages and layouts made of their sentences."""
     short = pages.where(F.length("html").between(1, TRAIN_PAGE_CHARS))
-    sample = short.select("html").orderBy(F.xxhash64("html", F.lit(seed)), "html").limit(train_pages).collect()
+    place = F.pmod(F.xxhash64("html", F.lit(seed)), F.lit(2**30))  # by hash, so that few pages move whatever the table's size
+    near = short.select("html").where(place < int(2**30 * min(1.0, 2 * train_pages / max(1, short.count()))))
+    sample = near.orderBy(place, "html").limit(train_pages).collect()
     xs, ys, sentences = [], [], []
     for r in sample:
         page = blocks(r["html"])
