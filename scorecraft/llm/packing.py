@@ -198,14 +198,13 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
     for length in range(capacity, 0, -1):
         if not have[length]:
             continue
-        # bins opened by the longest lengths first; a small length fills a bin by itself
+        # the longest lengths open bins, as few as would hold them all; the rest of them may fill gaps
         while have[length]:
-            each = min(capacity // length, int(have[length]))
-            bins = int(have[length]) // each
+            bins = -(-int(have[length]) // (capacity // length))
             start = seq
             seq += bins
-            put(length, each, bins, start, 0)
-            classes = [(start, bins, each * length)]
+            put(length, 1, bins, start, 0)
+            classes = [(start, bins, length)]
             while classes:
                 s, m, filled = classes.pop()
                 gap = capacity - filled
