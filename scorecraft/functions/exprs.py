@@ -122,28 +122,26 @@ def erfc_sql(z: str) -> str:
     return f"({t} * exp(-({z}) * ({z}) + {poly}))"
 
 
-def chi2_sf_sql(x: str, dof: str, max_dof: int = 400) -> str:
+def chi2_sf_sql(x: str, dof: str) -> str:
     """SQL text of P(X > x) for X ~ chi2(dof), dof a positive integer.
 
     Even dof: exp(-x/2) * sum_{j < dof/2} (x/2)^j / j!.
     Odd dof: erfc(sqrt(x/2)) + exp(-x/2) * sum_{j=1}^{(dof-1)/2} (x/2)^(j-1/2) / Gamma(j+1/2).
-    Terms are built as running products so no factorial overflows.
+    Each term is the exponential of a running sum of logarithms less x/2, so
+    neither the powers overflow nor exp(-x/2) underflows at any dof.
     """
     h = f"(({x}) / 2.0)"
 
-    def seq(m: str) -> str:
-        return f"CASE WHEN {m} >= 1 THEN sequence(1, {m}) ELSE CAST(array() AS array<int>) END"
-
-    even = (f"exp(-{h}) * aggregate({seq(f'CAST(({dof}) / 2 AS INT) - 1')}, "
-            f"struct(1.0D AS term, 1.0D AS total), "
-            f"(acc, j) -> struct(acc.term * {h} / j AS term, acc.total + acc.term * {h} / j AS total), "
-            f"acc -> acc.total)")
-    first_odd = f"(sqrt({h}) / {math.gamma(1.5)!r})"
-    odd = (f"{erfc_sql(f'sqrt({h})')} + exp(-{h}) * aggregate({seq(f'CAST((({dof}) - 1) / 2 AS INT)')}, "
-           f"struct(0.0D AS term, 0.0D AS total), "
-           f"(acc, j) -> struct(CASE WHEN j = 1 THEN {first_odd} ELSE acc.term * {h} / (j - 0.5) END AS term, "
-           f"acc.total + CASE WHEN j = 1 THEN {first_odd} ELSE acc.term * {h} / (j - 0.5) END AS total), "
-           f"acc -> acc.total)")
+    def series(m: str, start: str, total: str, divisor: str) -> str:
+        steps = f"CASE WHEN {m} >= 1 THEN sequence(1, {m}) ELSE CAST(array() AS array<int>) END"
+        grown = f"(acc.l + ln({h} / {divisor}))"
+        return (f"aggregate({steps}, struct({start} AS l, {total} AS total), "
+                f"(acc, j) -> struct({grown} AS l, acc.total + exp({grown} - {h}) AS total), acc -> acc.total)")
+
+    even = series(f"(CAST(({dof}) / 2 AS INT) - 1)", "0.0D", f"exp(-{h})", "j")
+    # term 0 of the odd series, (x/2)^(-1/2) / Gamma(1/2), only starts the running sum
+    odd = (f"{erfc_sql(f'sqrt({h})')} + "
+           + series(f"CAST((({dof}) - 1) / 2 AS INT)", f"(-0.5D * ln({h}) - {math.lgamma(0.5)!r}D)", "0.0D", "(j - 0.5D)"))
     return (f"CASE WHEN ({dof}) IS NULL OR ({dof}) <= 0 OR ({x}) IS NULL THEN NULL "
             f"WHEN ({x}) <= 0 THEN 1.0D "
             f"WHEN ({dof}) % 2 = 0 THEN {even} ELSE {odd} END")

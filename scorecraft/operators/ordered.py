@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
 
 
 def unpivot_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
@@ -37,18 +36,19 @@ def unpivot_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()
             .where(F.col(value).isNotNull() & ~F.isnan(F.col(value))))
 
 
-def _bucket_boundaries(dist: DataFrame, keys: list[str], order: str,
-                       rows_per_bucket: int) -> DataFrame | None:
-    """Range boundaries per group, or None when every group fits one bucket."""
-    ndv = (dist.groupBy(*keys).agg(F.approx_count_distinct(order).alias("_ndv"))
-           .agg(F.max("_ndv").alias("m")).first()["m"] or 0)  # one number
-    if ndv <= rows_per_bucket:
-        return None
-    nb = max(min(MAX_BUCKETS, math.ceil(ndv / rows_per_bucket)), 2)
-    probs = [i / nb for i in range(1, nb)]
-    return (dist.groupBy(*keys)
-            .agg(F.array_sort(F.array_distinct(
-                F.percentile_approx(order, probs, 10 * nb))).alias("_bounds")))
+def _bucket_bounds(dist: DataFrame, order: str, rows_per_bucket: int) -> list:
+    """Range bounds over all groups together: rows / ``rows_per_bucket`` numbers.
+
+    A bucket holds about ``rows_per_bucket`` rows of ``dist`` whatever the
+    groups, so no group's share of a bucket holds more; a value that many
+    groups have is one row in each of them.
+    """
+    buckets = math.ceil(dist.count() / rows_per_bucket)
+    if buckets < 2:
+        return []
+    probs = [i / buckets for i in range(1, buckets)]
+    got = dist.agg(F.percentile_approx(order, probs, max(10_000, 10 * buckets)).alias("b")).first()["b"]
+    return sorted(set(got or []))
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: str,
@@ -64,21 +64,12 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: str,
     keys = list(keys)
     sums = list(sums)
     dist = df if pre_aggregated else df.groupBy(*keys, order).agg(*[F.sum(s).alias(s) for s in sums])
-    bounds = _bucket_boundaries(dist, keys, order, rows_per_bucket)
+    bounds = _bucket_bounds(dist, order, rows_per_bucket)
     ordcol = F.col(order).desc() if descending else F.col(order).asc()
-    if bounds is None:
-        # every group fits one window partition: both windows share one exchange
-        w = (Window.partitionBy(*keys).orderBy(ordcol)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        wall = Window.partitionBy(*keys)
-        return dist.select(*keys, order, *sums,
-                           *[F.sum(s).over(w).alias(f"cum_{s}") for s in sums],
-                           *[F.sum(s).over(wall).alias(f"tot_{s}") for s in sums])
     o = F.col(order)
-    # <= MAX_BUCKETS boundaries per group; AQE broadcasts it when small
-    bucketed = (dist.join(bounds, keys, "left")
-                .withColumn("_b", F.coalesce(F.size(F.filter("_bounds", lambda b: b < o)), F.lit(0)))
-                .drop("_bounds"))
+    # no join for the bounds: a hot group is never gathered by its key alone
+    below = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < o)) if bounds else F.lit(0)
+    bucketed = dist.withColumn("_b", F.coalesce(below, F.lit(0)))
     if descending:
         bucketed = bucketed.withColumn("_b", -F.col("_b"))
     # per-bucket totals -> offsets (a table of #groups x #buckets rows)

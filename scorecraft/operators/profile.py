@@ -108,6 +108,9 @@ def contingency(df: DataFrame, bins: Mapping[str, Column] | Sequence[str] = (),
     structs += [F.struct(F.lit(f).alias("feature"), F.lit(None).cast("int").alias("bin"),
                          F.col(f).cast("string").alias("level")) for f in categorical]
     extra_cols = [v.cast("double").alias(k) for k, v in extra.items()]
+    if not structs:  # no feature at all: an empty table of the same columns
+        structs = [F.struct(F.lit(None).cast("string").alias("feature"), F.lit(None).cast("int").alias("bin"),
+                            F.lit(None).cast("string").alias("level"))]
     long = (df.select(*keys, F.col(y).cast("double").alias("_y"), *extra_cols,
                       F.inline(F.array(*structs)))
             .where(F.col("bin").isNotNull() | F.col("level").isNotNull()))

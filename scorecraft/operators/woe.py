@@ -123,8 +123,20 @@ def bin_performance(ct: DataFrame, keys: Sequence[str] = ("source",)) -> DataFra
     return t.drop("_tot", "_good", "_bad")
 
 
-def iv_by_source(perf: DataFrame, sources: Sequence[str] = ("Test", "OOT", "PDV")) -> DataFrame:
-    """IV per feature and source side by side, features present in all; by IV_Test desc."""
+ROLES = ("Test", "OOT", "PDV")
+
+
+def roles_present(df: DataFrame, roles: Sequence[str] = ROLES) -> list[str]:
+    """Those of ``roles`` that ``df`` has rows of, in their order (one small aggregate)."""
+    have = {r["source"] for r in df.where(F.col("source").isin(*roles)).select("source").distinct().collect()}
+    return [r for r in roles if r in have]
+
+
+def iv_by_source(perf: DataFrame, sources: Sequence[str] | None = None) -> DataFrame:
+    """IV per feature and source side by side, features present in all; by the first source's IV desc.
+
+    ``sources`` defaults to the roles the data has besides Train; none gives an empty table."""
+    sources = list(sources or roles_present(perf) or ROLES)
     agg = perf.where(F.col("source").isin(*sources)).groupBy("feature").pivot("source", list(sources)) \
         .agg(F.sum("IV"))
     cols = [rnd(F.col(s), 4).alias(f"IV_{s}") for s in sources]
