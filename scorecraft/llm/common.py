@@ -127,13 +127,14 @@ def with_keys(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_id": id_or_lowest(), "_th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
 
 
-def arrow_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema) -> DataFrame:
-    """``mapInArrow`` of a function of one batch that keeps whole rows; ``schema`` is Spark's."""
+def arrow_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema, most: int = 2 << 20) -> DataFrame:
+    """``mapInArrow`` of a function of one batch that keeps whole rows; ``schema`` is
+    Spark's. A batch holds at most ``most`` bytes of ``text``, or one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for b in batches:
-            out = fn(b) if b.num_rows else b
-            yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+        for b in bounded_batches(batches, "text", most):
+            if b.num_rows and (out := fn(b)).num_rows:
+                yield out
 
     return df.mapInArrow(run, schema)
 
