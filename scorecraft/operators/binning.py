@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,28 +58,83 @@ def forced_edges(df: DataFrame, cols: Sequence[str], k: int = 5, keys: Sequence[
 def low_cardinality_levels(df: DataFrame, cols: Sequence[str], cutoff: int = 5) -> DataFrame:
     """Columns with <= cutoff distinct values (NULL counts as one).
 
-    Returns (feature, n_distinct, levels array<double>, low_cardinality).
-    Uses exact distinct counts, one aggregate for all columns.
+    Returns (feature, n_distinct, levels array<double>, low_cardinality). One
+    distinct over (feature, value) gives the counts and the levels.
     """
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.countDistinct(x).alias(f"{c}__d"), F.max(x.isNull().cast("int")).alias(f"{c}__n")]
-    row = df.agg(*aggs)
-    out = None
-    for c in cols:
-        part = row.select(F.lit(c).alias("feature"),
-                          (F.col(f"{c}__d") + F.coalesce(F.col(f"{c}__n"), F.lit(0))).alias("n_distinct"))
-        out = part if out is None else out.unionByName(part)
-    levels = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-              .unpivot([], list(cols), "feature", "x").where(F.col("x").isNotNull())
-              .groupBy("feature", "x").agg(F.count("*").alias("_n")))
-    # distinct levels only kept for low-cardinality columns: <= cutoff rows each
-    lv = (levels.join(out.where(F.col("n_distinct") <= cutoff).select("feature"), "feature")
-          .groupBy("feature").agg(F.array_sort(F.collect_list("x")).alias("levels")))
-    return (out.join(lv, "feature", "left")
-            .select("feature", F.col("n_distinct").cast("long").alias("n_distinct"), "levels",
-                    (F.col("n_distinct") <= cutoff).alias("low_cardinality")))
+    values = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+              .unpivot([], list(cols), "feature", "x").distinct())
+    counts = values.groupBy("feature").agg(F.count("*").alias("n_distinct"))  # one row a column
+    low = F.broadcast(counts.where(F.col("n_distinct") <= cutoff).select("feature"))
+    levels = (values.where(F.col("x").isNotNull()).join(low, "feature")  # <= cutoff rows a column
+              .groupBy("feature").agg(F.array_sort(F.collect_list("x")).alias("levels")))
+    return (counts.join(levels, "feature", "left")
+            .select("feature", "n_distinct", "levels", (F.col("n_distinct") <= cutoff).alias("low_cardinality")))
+
+
+def _bin_means(cells: list[tuple[int, int, float, float]], grid: list[float], edges: list[float]):
+    """Mean x and y per bin of ``edges``, from the cells (index, n, sum x, sum y) of the
+    finer ``grid``, whose points hold all of ``edges``."""
+    at = np.array([c[0] for c in cells])
+    upper = np.array([grid[min(i + 1, len(grid) - 1)] for i in at])
+    code = np.clip(np.searchsorted(edges, upper, side="left") - 1, 0, len(edges) - 2)
+    n, sx, sy = (np.bincount(code, [c[j] for c in cells], len(edges) - 1) for j in (1, 2, 3))
+    full = n > 0
+    return sx[full] / n[full], sy[full] / n[full]
+
+
+def _average_ranks(x: np.ndarray) -> np.ndarray:
+    """Ranks from 1, ties at their mean."""
+    s = np.sort(x)
+    return (np.searchsorted(s, x, "left") + np.searchsorted(s, x, "right") + 1) / 2
+
+
+def spearman(x: np.ndarray, y: np.ndarray) -> float:
+    """Rank correlation; 0 where it is undefined (fewer than two points, or all tied)."""
+    a, b = _average_ranks(x), _average_ranks(y)
+    if len(a) < 2 or a.std() == 0 or b.std() == 0:
+        return 0.0
+    return float(np.corrcoef(a, b)[0, 1])
+
+
+def monotonic_edges(df: DataFrame, cols: Sequence[str], y: str = "y", max_bins: int = 20, force_bins: int = 5,
+                    cutoff: float = 0.001, method: str = "exact") -> DataFrame:
+    """The most quantile bins, from ``max_bins`` down to 2, whose mean x and mean
+    y have a rank correlation of at least 1 - cutoff in size; else the forced
+    edges (B2). Returns (feature, edges, bins): ``bins`` is NULL for forced ones.
+
+    Two passes for all columns and bin numbers: the quantile points of all bin
+    numbers form one grid, rows are summed per grid cell (a few hundred rows a
+    column), and every candidate's bins are unions of cells.
+    """
+    spark = df.sparkSession
+    ks = range(max_bins, 1, -1)
+    probs = sorted({i / k for k in ks for i in range(k + 1)})
+    points = {r["feature"]: dict(zip(probs, round_edges(r["values"]))) for r in
+              quantiles(df, cols, probs, method=method).collect() if r["values"]}
+    grids = {c: sorted(set(p.values())) for c, p in points.items()}
+    long = []
+    for c, grid in grids.items():
+        x = F.round(F.col(c).cast("double"), EDGE_DP)  # edges are held at this precision
+        below = F.size(F.filter(F.array(*map(F.lit, grid)), lambda e: e < x)) - 1
+        long.append(F.struct(F.lit(c).alias("feature"), F.greatest(below, F.lit(0)).alias("cell"), x.alias("x")))
+    chosen = {}
+    if long:
+        cells = (df.select(F.col(y).cast("double").alias("_y"), F.inline(F.array(*long)))
+                 .where(F.col("x").isNotNull() & F.col("_y").isNotNull()).groupBy("feature", "cell")
+                 .agg(F.count("*").alias("n"), F.sum("x").alias("sx"), F.sum("_y").alias("sy")).collect())
+        of = {}
+        for r in sorted(cells, key=lambda r: (r["feature"], r["cell"])):
+            of.setdefault(r["feature"], []).append((r["cell"], r["n"], r["sx"], r["sy"]))
+        for c, found in of.items():
+            for k in ks:
+                edges = sorted({points[c][i / k] for i in range(k + 1)})
+                if len(edges) > 2 and abs(spearman(*_bin_means(found, grids[c], edges))) >= 1 - cutoff:
+                    chosen[c] = (edges, k)
+                    break
+    rest = [c for c in cols if c not in chosen]
+    forced = edges_dict(forced_edges(df, rest, force_bins, method=method)) if rest else {}
+    rows = [(c, *chosen.get(c, (forced.get(c, []), None))) for c in cols]
+    return spark.createDataFrame(rows, "feature string, edges array<double>, bins int")
 
 
 def custom_edges(spark, edges: Mapping[str, Sequence[float]]) -> DataFrame:

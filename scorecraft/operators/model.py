@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,12 +24,13 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import MISSING_BIN, MISSING_LEVEL
 from ..functions.exprs import rnd
+from ..sources.io import save_stage
 from . import binning as B
 from . import prep as P
 from .ordered import quantiles
@@ -140,20 +142,25 @@ def inference_table(spark, scored: DataFrame, lr_model, names: Sequence[str], fe
     """Standard error, z, p-value and 95 % CI of each non-zero coefficient,
     plus log-likelihood and McFadden pseudo-R2 as extra rows.
 
-    X'WX (W = p(1-p)) is a distributed Gramian of sqrt(w) [1, x] rows.
+    X'WX (W = p(1-p)) is a distributed Gramian of sqrt(w) [1, x] rows, which
+    Spark expressions build. Probabilities are kept 1e-15 away from 0 and 1 in
+    the log-likelihood, so that a saturated row still counts.
     """
     from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
 
     coef = np.concatenate([[lr_model.intercept], lr_model.coefficients.toArray()])
     keep = np.flatnonzero(np.abs(coef) > 1e-10)
-    rows = (scored.select(vector_to_array(features).alias("x"), F.col(prob).alias("p"))
-            .rdd.map(lambda r: [math.sqrt(max(r["p"] * (1 - r["p"]), 0.0)) * v
-                                for v in [1.0, *r["x"]]]))
-    gram = RowMatrix(rows).computeGramianMatrix().toArray()
+    root = F.sqrt(F.greatest(F.col(prob) * (1 - F.col(prob)), F.lit(0.0)))
+    x1 = F.concat(F.array(F.lit(1.0)), vector_to_array(features))
+    rows = scored.select(x1.alias("x"), root.alias("w")).select(
+        array_to_vector(F.transform("x", lambda v: v * F.col("w"))).alias("v"))
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v")).computeGramianMatrix().toArray()
     info = gram[np.ix_(keep, keep)]
     cov = np.linalg.pinv(info)
     se = np.sqrt(np.clip(np.diag(cov), 0, None))
-    agg = scored.agg(F.sum(F.when(F.col(y) == 1, F.log(F.col(prob))).otherwise(F.log(1 - F.col(prob)))).alias("ll"),
+    p = F.greatest(F.least(F.col(prob), F.lit(1 - 1e-15)), F.lit(1e-15))
+    agg = scored.agg(F.sum(F.when(F.col(y) == 1, F.log(p)).otherwise(F.log(1 - p))).alias("ll"),
                      F.avg(y).alias("ybar"), F.count(F.lit(1)).alias("n")).first()
     ybar, n = agg["ybar"], agg["n"]
     ll0 = n * (ybar * math.log(ybar) + (1 - ybar) * math.log(1 - ybar)) if 0 < ybar < 1 else 0.0
@@ -198,6 +205,8 @@ def _prepare(df: DataFrame, card: Scorecard) -> DataFrame:
     if card.binned:
         out = B.apply_bins(out, card.edges, include_lowest=True, missing_bin=MISSING_BIN)
         out = out.withColumns({c: F.col(c).cast("string") for c in card.edges})
+        out = out.withColumns({c: F.coalesce(F.col(c).cast("double").cast("string"), F.lit(str(MISSING_BIN)))
+                               for c in card.low_card})
     else:
         out = P.fill_unbinned_numeric(out, card.numeric)
     return P.impute_categorical(out, card.categorical)
@@ -207,31 +216,38 @@ def build_scorecard(train: DataFrame, numeric: Sequence[str], categorical: Seque
                     alpha: float = 0.8, bins: int = 5, bands: int | Sequence[float] = 5,
                     custom_edges: Mapping[str, Sequence[float]] | None = None,
                     groups: Mapping[str, Mapping[str, str]] | None = None,
-                    transforms: Mapping[str, str] | None = None, binned: bool = True) -> Scorecard:
+                    transforms: Mapping[str, str] | None = None, binned: bool = True,
+                    low_cardinality_cutoff: int = 5) -> Scorecard:
     """M15 (first model) / M16 (refined): bins -> missing bin -> one-hot -> L1 logit -> risk bands.
 
     Numeric columns are binned with B2 (fitted on ``train``) or ``custom_edges``
-    (B5); bins become categorical levels. Risk-band edges are quantiles of
-    the training probabilities (B10) or the given cut points.
+    (B5); bins become categorical levels. Columns of at most
+    ``low_cardinality_cutoff`` distinct values keep them as levels (B4); a
+    level not seen in training encodes to zeros. Risk-band edges are quantiles
+    of the training probabilities (B10) or the given cut points.
     """
     spark = train.sparkSession
     numeric, categorical = list(numeric), list(categorical)
-    grp = {c: P.category_map(train, c, m) for c, m in (groups or {}).items()}
+    grp = {c: save_stage(P.category_map(train, c, m), f"category_map_{c}") for c, m in (groups or {}).items()}
     base = train
     for c, m in grp.items():
         base = P.group_categories(base, c, m)
     if transforms:
         base = P.transform_numeric(base, transforms)
-    edges = {}
+    edges, low_card = {}, {}
     if binned:
         fit_cols = [c for c in numeric if c not in (custom_edges or {})]
+        if fit_cols:
+            found = B.low_cardinality_levels(base, fit_cols, low_cardinality_cutoff)
+            low_card = {r["feature"]: list(r["levels"] or []) for r in found.where("low_cardinality").collect()}
+            fit_cols = [c for c in fit_cols if c not in low_card]
         if fit_cols:
             edges = B.edges_dict(B.forced_edges(base, fit_cols, bins))
         edges.update({c: B.round_edges(sorted(set(v))) for c, v in (custom_edges or {}).items()})
-    card = Scorecard(numeric, categorical, edges, None, [], [], groups=grp, transforms=dict(transforms or {}),
-                     binned=binned)
+    card = Scorecard(numeric, categorical, edges, None, [], [], low_card=low_card, groups=grp,
+                     transforms=dict(transforms or {}), binned=binned)
     prepared = _prepare(train, card)
-    cat_cols = (list(edges) if binned else []) + categorical
+    cat_cols = ([*edges, *low_card] if binned else []) + categorical
     num_cols = [] if binned else numeric
     stages = one_hot_stages(cat_cols, "features", num_cols)
     n = train.count()
@@ -293,13 +309,21 @@ def rfe(v: DataFrame, feats: Sequence[str], n_select: int, y: str = "y") -> list
     return [feats[i] for i in keep]
 
 
-def _cv_accuracy(v: DataFrame, idx, n, y, folds: int = 5, seed: int = 144) -> float:
+def with_folds(v: DataFrame, folds: int, y: str = "y", seed: int = 144) -> DataFrame:
+    """``v`` with ``_fold``, a hash of the row's content: a retried task or another
+    partitioning deals rows alike, and equal rows share a fold."""
+    return v.withColumn("_fold", F.pmod(F.xxhash64(vector_to_array("features"), F.col(y), F.lit(seed)),
+                                        F.lit(folds)).cast("int"))
+
+
+def _cv_accuracy(v: DataFrame, idx, sizes: Mapping[int, int], y: str) -> float:
+    """Mean accuracy over the folds of ``with_folds`` (``sizes``: rows per fold);
+    C weighs against the rows that a fold trains on."""
     s = VectorSlicer(inputCol="features", outputCol="sub", indices=list(idx)).transform(v)
-    s = s.withColumn("_fold", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(folds)))
     acc = []
-    for k in range(folds):
+    for k, size in sorted(sizes.items()):
         tr, te = s.where(F.col("_fold") != k), s.where(F.col("_fold") == k)
-        m = logistic("l2", C=1.0, n_rows=n, features="sub", label=y).fit(tr)
+        m = logistic("l2", C=1.0, n_rows=sum(sizes.values()) - size, features="sub", label=y).fit(tr)
         r = m.transform(te).agg(F.avg((F.col("prediction") == F.col(y)).cast("double")).alias("a")).first()["a"]
         acc.append(r or 0.0)
     return float(np.mean(acc))
@@ -308,15 +332,16 @@ def _cv_accuracy(v: DataFrame, idx, n, y, folds: int = 5, seed: int = 144) -> fl
 def sequential_select(v: DataFrame, feats: Sequence[str], n_select: int, direction: str = "forward",
                       y: str = "y", folds: int = 5) -> list[str]:
     """M6: greedy forward / backward selection by k-fold accuracy of an L2 logistic."""
-    n = v.count()
+    v = with_folds(v, folds, y)
+    sizes = {r["_fold"]: r["n"] for r in v.groupBy("_fold").agg(F.count("*").alias("n")).collect()}
     cur = [] if direction == "forward" else list(range(len(feats)))
     while len(cur) != n_select:
         cands = [i for i in range(len(feats)) if i not in cur] if direction == "forward" else list(cur)
         scores = []
         for c in cands:
             trial = sorted(cur + [c]) if direction == "forward" else [i for i in cur if i != c]
-            scores.append((_cv_accuracy(v, trial, n, y, folds), c))
-        best = max(scores)[1]
+            scores.append((_cv_accuracy(v, trial, sizes, y), c))
+        best = max(scores, key=lambda t: t[0])[1]  # the first of equals
         cur = sorted(cur + [best]) if direction == "forward" else [i for i in cur if i != best]
     return [feats[i] for i in cur]
 
@@ -332,6 +357,31 @@ def l1_select(v: DataFrame, feats: Sequence[str], n_select: int | None, y: str =
     return [(feats[i], float(coefs[i])) for i in order]
 
 
+def random_search(v: DataFrame, draws: int = 20, folds: int = 5, y: str = "y", seed: int = 144,
+                  penalties: Sequence[str] = ("l1", "l2"), log10_c: tuple[float, float] = (-4.0, 4.0)) -> list[tuple]:
+    """``draws`` random (penalty, C) with C log-uniform, each scored by mean ROC
+    AUC over ``folds`` folds: [(penalty, C, auc)], best first, draw order on ties."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rng = np.random.default_rng(seed)
+    grid = [(str(rng.choice(list(penalties))), float(10 ** rng.uniform(*log10_c))) for _ in range(draws)]
+    v = with_folds(v, folds, y, seed)
+    sizes = {r["_fold"]: r["n"] for r in v.groupBy("_fold").agg(F.count("*").alias("n")).collect()}
+    total, auc = sum(sizes.values()), BinaryClassificationEvaluator(labelCol=y)
+
+    def one(cell):
+        (penalty, c), k = cell
+        m = logistic(penalty, C=c, n_rows=total - sizes[k], label=y).fit(v.where(F.col("_fold") != k))
+        return auc.evaluate(m.transform(v.where(F.col("_fold") == k)))
+
+    cells = [(g, k) for g in grid for k in sorted(sizes)]
+    with ThreadPoolExecutor(4) as pool:  # several small fits at a time
+        scores = list(pool.map(one, cells))
+    per = len(sizes)
+    rows = [(*g, float(np.mean(scores[i * per:(i + 1) * per]))) for i, g in enumerate(grid)]
+    return sorted(rows, key=lambda r: -r[2])
+
+
 def default_n_features(k: int) -> int:
     """M8 default size: max(int(log2(#features)), 5)."""
     return max(int(math.log2(k)) if k > 0 else 0, 5)

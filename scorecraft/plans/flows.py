@@ -23,7 +23,7 @@ from ..operators import profile as A
 from ..operators import stability as D
 from ..operators import woe as W
 from ..operators.model import apply_scorecard, build_scorecard
-from ..sources.io import save_stage
+from ..sources.io import new_run, save_stage
 
 
 @dataclass
@@ -34,16 +34,23 @@ class FlowState:
     categorical: list
     reports: dict = field(default_factory=dict)
     card: object = None
+    run: str = field(default_factory=new_run)  # the folder of this run's stage tables
 
 
 def prepare_data(df: DataFrame, cfg: ScorecardConfig, persist: bool = True) -> FlowState:
-    """exclusions, de-duplication, target, profiles, missing / cardinality drops, imputation."""
+    """exclusions, de-duplication, target, profiles, missing / cardinality drops, imputation.
+
+    The labelled rows are written once, before the passes that profile them.
+    """
+    run = new_run()
     d = P.exclude_columns(df, cfg.exclude)
     d = P.drop_duplicate_rows(d)
     d = P.derive_target(d, cfg.target, cfg.bad_values)
     d = P.encode_target(d, "yTarget", "y")
     if cfg.sample_fraction:
         d = P.sample_rows(d, cfg.sample_fraction, cfg.seed)
+    if persist:
+        d = save_stage(d, "labelled", run=run)
     num, cat = P.split_by_dtype(d, exclude=[cfg.target, "yTarget", "y", "source"])
     train = d.where(F.col("source") == "Train")
     miss = A.missing_profile(train, num + cat)
@@ -59,8 +66,8 @@ def prepare_data(df: DataFrame, cfg: ScorecardConfig, persist: bool = True) -> F
         d = P.impute_numeric(d, vals)
     d = P.impute_categorical(d, cat, cfg.categorical_fill)
     if persist:
-        d = save_stage(d, "prepared")
-    return FlowState(d, num, cat, {"missing": miss, "describe": A.describe_numeric(train, num)})
+        d = save_stage(d, "prepared", run=run)
+    return FlowState(d, num, cat, {"missing": miss, "describe": A.describe_numeric(train, num)}, run=run)
 
 
 def reduce_variables(st: FlowState, cfg: ScorecardConfig, enforce: bool = False) -> FlowState:
@@ -88,7 +95,7 @@ def reduce_variables(st: FlowState, cfg: ScorecardConfig, enforce: bool = False)
         v = C.vif_filter(C.vif(train, num), cfg.vif_threshold)
         st.reports["vif"] = v
     st.reports.update({"iv": iv, "correlation": corr})
-    return FlowState(st.data, num, cat, st.reports, st.card)
+    return FlowState(st.data, num, cat, st.reports, st.card, st.run)
 
 
 def feature_selection(st: FlowState, cfg: ScorecardConfig) -> FlowState:
@@ -107,7 +114,7 @@ def feature_selection(st: FlowState, cfg: ScorecardConfig) -> FlowState:
     finally:
         v.unpersist()
     return FlowState(st.data, [c for c in st.numeric if c in chosen], [c for c in st.categorical if c in chosen],
-                     st.reports, st.card)
+                     st.reports, st.card, st.run)
 
 
 def model_building(st: FlowState, cfg: ScorecardConfig, refine: bool = False) -> FlowState:
@@ -119,8 +126,9 @@ def model_building(st: FlowState, cfg: ScorecardConfig, refine: bool = False) ->
                   transforms=cfg.transforms or None, bands=list(cfg.band_cuts) if cfg.band_cuts else cfg.risk_bands)
     else:
         kw = dict(bands=cfg.risk_bands)
-    card = build_scorecard(train, st.numeric, st.categorical, "y", cfg.l1_alpha, cfg.model_bins, **kw)
-    st = FlowState(st.data, st.numeric, st.categorical, st.reports, card)
+    card = build_scorecard(train, st.numeric, st.categorical, "y", cfg.l1_alpha, cfg.model_bins,
+                           low_cardinality_cutoff=cfg.low_cardinality_cutoff, **kw)
+    st = FlowState(st.data, st.numeric, st.categorical, st.reports, card, st.run)
     return generate_reports(st, cfg)
 
 
@@ -128,9 +136,11 @@ def generate_reports(st: FlowState, cfg: ScorecardConfig) -> FlowState:
     """score every role once, then the report tables from that one scored frame."""
     s = apply_scorecard(st.data, st.card)
     s = save_stage(s.drop("features", "rawPrediction", "probability", *[c for c in s.columns if c.endswith("__idx")
-                                                                          or c.endswith("__ohe")]), "scored")
+                                                                          or c.endswith("__ohe")]),
+                   f"scored-{new_run()}", run=st.run)
+    levels = [*st.categorical, *st.card.low_card]
     bin_cols = list(st.card.edges) if st.card.binned else []
-    ct = A.contingency(s, {c: F.col(c).cast("int") for c in bin_cols}, st.categorical, "pred", ["source"])
+    ct = A.contingency(s, {c: F.col(c).cast("int") for c in bin_cols}, levels, "pred", ["source"])
     perf = W.bin_performance(ct, ["source"])
     detail = D.csi_detail(perf)
     chi = C.chi_square(A.contingency(s, {}, st.categorical, "pred", ["source"]), ["source"])

@@ -9,6 +9,7 @@ recompute its inputs after an executor loss.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +29,42 @@ def _nan_to_null(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+# numbers as pandas reads them (Spark's own cast also takes type suffixes)
+INTEGER, DECIMAL = r"^[+-]?\d{1,18}$", r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """String columns whose present values are all whole numbers become long, all numbers
+    double; one aggregate decides for all columns. A column without values stays a string."""
+    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not cols:
+        return df
+    ref = {c: F.trim(F.col(f"`{c}`")) for c in cols}
+    row = df.agg(*[F.array(F.count(ref[c]), F.count_if(ref[c].rlike(INTEGER)), F.count_if(ref[c].rlike(DECIMAL))).alias(f"c{i}")
+                   for i, c in enumerate(cols)]).first()
+    kinds = {c: "long" if row[i][0] == row[i][1] > 0 else "double" if row[i][0] == row[i][2] > 0 else None
+             for i, c in enumerate(cols)}
+    return df.withColumns({c: ref[c].cast(k) for c, k in kinds.items() if k})
+
+
 def read_dataset(spark: SparkSession, path: str, role: str | None = None, fmt: str | None = None,
                  schema: T.StructType | str | None = None, line_sep: str | None = None) -> DataFrame:
-    """CSV (header, inferred or given schema) or parquet; NA spellings and NaN -> NULL; ``source`` added."""
+    """CSV (header, inferred or given schema) or parquet; NA spellings and NaN -> NULL; ``source`` added.
+
+    Without a schema, types are decided after the NA spellings are nulled, so
+    that a numeric column which holds ``NA`` stays numeric.
+    """
     fmt = fmt or ("parquet" if path.endswith(".parquet") else "csv")
     if fmt == "csv":
         r = spark.read.option("header", True).option("mode", "PERMISSIVE")
-        r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
+        r = r.schema(schema) if schema is not None else r.option("inferSchema", False)
         if line_sep:
             r = r.option("lineSep", line_sep)
         df = r.csv(path)
         df = df.select(*[F.when(~F.col(f.name).isin(*NA_VALUES), F.col(f.name)).alias(f.name)
                          if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields])
+        if schema is None:
+            df = infer_types(df)
     else:
         df = spark.read.format(fmt).load(path)
     df = _nan_to_null(df)
@@ -67,9 +92,9 @@ def write_scored(df: DataFrame, path: str) -> None:
 
 
 def write_report_table(df: DataFrame, base: str, name: str) -> str:
-    """One named report table (small) as parquet."""
+    """One named report table as parquet."""
     path = f"{base.rstrip('/')}/{name}"
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -79,18 +104,30 @@ def write_metrics(spark: SparkSession, metrics: Mapping[str, float], path: str)
         .write.mode("overwrite").text(path)
 
 
-def save_stage(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
+def new_run() -> str:
+    """A name for the stage tables of one run."""
+    return f"run-{uuid.uuid4().hex}"
+
+
+def _stage_path(spark: SparkSession, name: str, base: str | None, run: str) -> str:
+    return f"{base.rstrip('/')}/{run}/{name}" if base else stage_dir(spark, f"{run}/{name}")
+
+
+def save_stage(df: DataFrame, name: str, base: str | None = None, run: str | None = None) -> DataFrame:
     """Write a stage table to the shared checkpoint folder and read it back
-    (cuts lineage; survives executor loss). Returns the re-read DataFrame."""
-    path = f"{base.rstrip('/')}/{name}" if base else stage_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    (cuts lineage; survives executor loss). Returns the re-read DataFrame.
+
+    Every run (``new_run``; a fresh one if not given) has a folder of its own, and
+    a stage is written once in it: no table is replaced under a frame that reads it.
+    """
+    path = _stage_path(df.sparkSession, name, base, run or new_run())
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def load_stage(spark: SparkSession, name: str, base: str | None = None) -> DataFrame:
-    """Read a stage written by :func:`save_stage`."""
-    path = f"{base.rstrip('/')}/{name}" if base else stage_dir(spark, name)
-    return spark.read.parquet(path)
+def load_stage(spark: SparkSession, name: str, run: str, base: str | None = None) -> DataFrame:
+    """Read a stage that :func:`save_stage` wrote under ``run``."""
+    return spark.read.parquet(_stage_path(spark, name, base, run))
 
 
 def save_model(card, path: str) -> None:
@@ -102,6 +139,7 @@ def save_model(card, path: str) -> None:
     s.createDataFrame([(json.dumps({"numeric": card.numeric, "categorical": card.categorical,
                                     "names": card.names, "band_edges": card.band_edges,
                                     "transforms": card.transforms, "binned": card.binned,
+                                    "low_card": card.low_card,
                                     "groups": sorted(card.groups)}),)],
                       "value string").write.mode("overwrite").text(f"{path}/meta")
     for c, m in card.groups.items():
@@ -117,5 +155,6 @@ def load_model(spark: SparkSession, path: str):
     edges = {r["feature"]: list(r["edges"]) for r in spark.read.parquet(f"{path}/bin_edges").collect() if r["feature"]}
     groups = {c: spark.read.parquet(f"{path}/category_map/{c}") for c in meta.get("groups", [])}
     return Scorecard(meta["numeric"], meta["categorical"], edges, PipelineModel.load(f"{path}/pipeline"),
-                     meta["names"], meta["band_edges"], groups=groups, transforms=meta["transforms"],
+                     meta["names"], meta["band_edges"], low_card=meta.get("low_card", {}), groups=groups,
+                     transforms=meta["transforms"],
                      binned=meta["binned"])
