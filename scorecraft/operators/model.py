@@ -337,10 +337,9 @@ def sequential_select(v: DataFrame, feats: Sequence[str], n_select: int, directi
     cur = [] if direction == "forward" else list(range(len(feats)))
     while len(cur) != n_select:
         cands = [i for i in range(len(feats)) if i not in cur] if direction == "forward" else list(cur)
-        scores = []
-        for c in cands:
-            trial = sorted(cur + [c]) if direction == "forward" else [i for i in cur if i != c]
-            scores.append((_cv_accuracy(v, trial, sizes, y), c))
+        trials = [sorted(cur + [c]) if direction == "forward" else [i for i in cur if i != c] for c in cands]
+        with ThreadPoolExecutor(4) as pool:  # several small fits at a time
+            scores = list(zip(pool.map(lambda t: _cv_accuracy(v, t, sizes, y), trials), cands))
         best = max(scores, key=lambda t: t[0])[1]  # the first of equals
         cur = sorted(cur + [best]) if direction == "forward" else [i for i in cur if i != best]
     return [feats[i] for i in cur]

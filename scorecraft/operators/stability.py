@@ -79,14 +79,15 @@ def _csi_from_counts(ct: DataFrame, base: str, cur: str) -> DataFrame:
             .select("feature", rnd("csi", 4).alias("csi")))
 
 
+# Free-text and index columns that the report leaves out unless told otherwise (fixed values)
 SKIP = ("Unnamed: 0", "emp_title", "title")
 
 
 def csi_report(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-               base: str = "Train", cur: str = "Test") -> DataFrame:
-    """One CSI row per feature (numeric via D2, categorical via D3)."""
-    num = [c for c in numeric if c not in SKIP]
-    cat = [c for c in categorical if c not in SKIP]
+               base: str = "Train", cur: str = "Test", skip: Sequence[str] = SKIP) -> DataFrame:
+    """One CSI row per feature (numeric via D2, categorical via D3) outside ``skip``."""
+    num = [c for c in numeric if c not in skip]
+    cat = [c for c in categorical if c not in skip]
     parts = []
     if num:
         parts.append(csi_numeric(df, num, base, cur))

@@ -158,7 +158,7 @@ def q_drop_all_null_columns(spark, sf_dir):
     row = t.agg(*[F.count(c).alias(c) for c in cols])
     long = row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("long").alias("non_null"))
                                          for c in cols])))
-    return long.withColumn("dropped", F.col("non_null") == 0)
+    return long.withColumn("dropped", F.col("column_name").isin(*P.all_null_columns(t, cols)))
 
 
 _DD = "source, l_linestatus, p_type, c_mktsegment, l_quantity"
@@ -234,8 +234,9 @@ def q_missing_profile(spark, sf_dir):
           "SELECT feature, missing_share, missing_share >= 0.6 AS dropped, missing_share_max >= 0.6 AS dropped_max FROM mp")
 def q_drop_high_missing(spark, sf_dir):
     m = A.missing_profile(train(spark, sf_dir), FEATS)
-    return m.select("feature", "missing_share", (F.col("missing_share") >= 0.6).alias("dropped"),
-                    (F.col("missing_share_max") >= 0.6).alias("dropped_max"))
+    by_rows, by_most = P.high_missing(m, 0.6), P.high_missing(m, 0.6, "max_missing")
+    return m.select("feature", "missing_share", F.col("feature").isin(*by_rows).alias("dropped"),
+                    F.col("feature").isin(*by_most).alias("dropped_max"))
 
 
 _CARD = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c}) AS BIGINT) AS nunique FROM {TRAIN}"
@@ -244,8 +245,9 @@ _CARD = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c}) A
 
 @register("drop_high_cardinality", S.with_(f"d AS ({_CARD})") + "SELECT feature, nunique, nunique > 15 AS dropped FROM d")
 def q_drop_high_cardinality(spark, sf_dir):
-    d = A.distinct_profile(train(spark, sf_dir), CATEGORICAL)
-    return d.select("feature", "nunique", (F.col("nunique") > 15).alias("dropped"))
+    t = train(spark, sf_dir)
+    dropped = P.high_cardinality(t, CATEGORICAL, 15)
+    return A.distinct_profile(t, CATEGORICAL).select("feature", "nunique", F.col("feature").isin(*dropped).alias("dropped"))
 
 
 IMP = ["l_tax", "o_totalprice", "l_quantity"]
@@ -413,6 +415,11 @@ def q_forced_edges(spark, sf_dir):
     return _explode_edges(B.forced_edges(train(spark, sf_dir), NUMERIC, 5))
 
 
+@register("monotonic_edges")
+def q_monotonic_edges(spark, sf_dir):
+    return B.monotonic_edges(train(spark, sf_dir), NUMERIC)
+
+
 _LC = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_distinct "
     f"FROM {TRAIN}" for c in NUMERIC + ["l_linenumber"])
@@ -974,12 +981,16 @@ def q_robust_scale(spark, sf_dir):
 
 
 @register("ordinal_encode", S.with_() +
-          "SELECT feature, level, CAST(dense_rank() OVER (PARTITION BY feature ORDER BY level) - 1 AS INTEGER) AS code FROM "
-          "(SELECT DISTINCT feature, level FROM " + S.unpivot(
+          "SELECT feature, level, CAST(dense_rank() OVER (PARTITION BY feature ORDER BY level) - 1 AS INTEGER) AS code, "
+          "n FROM (SELECT feature, level, CAST(count(*) AS BIGINT) AS n FROM " + S.unpivot(
               "(SELECT " + ", ".join(f"coalesce({c}, 'missing') AS {c}" for c in CATEGORICAL) + f" FROM {TRAIN})",
-              CATEGORICAL, [], value="level") + ")")
+              CATEGORICAL, [], value="level") + " GROUP BY feature, level)")
 def q_ordinal_encode(spark, sf_dir):
-    return M.ordinal_table(train(spark, sf_dir), CATEGORICAL)
+    t = train(spark, sf_dir)
+    table = M.ordinal_table(t, CATEGORICAL)
+    rows = M.ordinal_encode(t, table, CATEGORICAL).select(*[F.col(c).cast("int").alias(c) for c in CATEGORICAL])
+    n = rows.unpivot([], CATEGORICAL, "feature", "code").groupBy("feature", "code").agg(F.count("*").alias("n"))
+    return n.join(table, ["feature", "code"]).select("feature", "level", "code", "n")
 
 
 MNUM = ["l_quantity", "l_discount", "l_tax", "p_size"]
@@ -1074,8 +1085,7 @@ def _select_q(kind):
             elif kind == "l1":
                 out = M.l1_select(v, feats, n)
             else:
-                out = [(f, None) for f in M.sequential_select(v, feats, 2 if kind == "forward" else len(feats) - 2,
-                                                              kind, folds=3)]
+                out = [(f, None) for f in M.sequential_select(v, feats, n, kind)]
         finally:
             v.unpersist()
         return spark.createDataFrame(out, "feature string, coefficient double")
@@ -1090,24 +1100,13 @@ register("backward_select")(_select_q("backward"))
 
 @register("tune")
 def q_tune(spark, sf_dir):
-    """Sampled grid (C x penalty) scored by ROC AUC in k-fold CV."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    t = train(spark, sf_dir)
-    v, feats = M.selection_frame(t, MNUM, MCAT)
+    """20 random (penalty, C) scored by mean ROC AUC over 5 folds."""
+    v, _ = M.selection_frame(train(spark, sf_dir), NUMERIC, CATEGORICAL)
     try:
-        n = v.count()
-        lr = M.logistic("l2", C=1.0, n_rows=n)
-        grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n) for c in (0.001, 0.1, 10.0)]) \
-            .addGrid(lr.elasticNetParam, [0.0, 1.0]).build()
-        cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=3, seed=144, parallelism=4,
-                            evaluator=BinaryClassificationEvaluator(labelCol="y"))
-        m = cv.fit(v)
-        rows = [(float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), float(a))
-                for pm, a in zip(grid, m.avgMetrics)]
+        rows = M.random_search(v)
     finally:
         v.unpersist()
-    return spark.createDataFrame(rows, "reg_param double, elastic_net double, auc double")
+    return spark.createDataFrame(rows, "penalty string, C double, auc double")
 
 
 def _dc_q(method):
@@ -1121,6 +1120,7 @@ def _dc_q(method):
 register("distribution_check_nb")(_dc_q("GaussianNB"))
 register("distribution_check_lda")(_dc_q("LinearDiscriminantAnalysis"))
 register("distribution_check_qda")(_dc_q("QuadraticDiscriminantAnalysis"))
+register("distribution_check_knn")(_dc_q("KNeighborsClassifier"))
 
 from pyspark.ml import Pipeline  # noqa: E402
 
@@ -1134,14 +1134,15 @@ FLOW_CFG = ScorecardConfig(target="loan_status", bad_values=BAD_VALUES,
                            exclude=("l_orderkey", "l_linenumber", "l_shipdate", "yTarget", "y", "score"))
 
 
-@register("save_stage")
+@register("save_stage", S.with_() + "SELECT source, CAST(count(*) AS BIGINT) AS n FROM r GROUP BY source")
 def q_save_stage(spark, sf_dir):
     """The role-tagged loan view written to the shared checkpoint folder and read back."""
     back = IO.save_stage(roles(spark, sf_dir).select("source", *FEATS, "loan_status"), "loans_roles")
     return back.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("prepare_data")
+@register("prepare_data", S.with_("d AS (SELECT DISTINCT * EXCLUDE (l_orderkey, l_linenumber, l_shipdate, y, score) FROM r)") +
+          "SELECT source, yTarget, CAST(count(*) AS BIGINT) AS n FROM d GROUP BY source, yTarget")
 def q_prepare_data(spark, sf_dir):
     """prepared rows (exclusions, dedup, target, drops, imputation) as a stage table."""
     st = FL.prepare_data(roles(spark, sf_dir), FLOW_CFG)
@@ -1155,3 +1156,24 @@ def q_reduce_variables(spark, sf_dir):
     red = FL.reduce_variables(st, FLOW_CFG)
     kept = set(red.numeric) | set(red.categorical)
     return red.reports["iv"].withColumn("kept", F.col("feature").isin(*kept) if kept else F.lit(False))
+
+
+@register("feature_selection")
+def q_feature_selection(spark, sf_dir):
+    """the features that stay after preparation, screens and the model-based choice."""
+    st = FL.feature_selection(FL.reduce_variables(FL.prepare_data(roles(spark, sf_dir), FLOW_CFG), FLOW_CFG), FLOW_CFG)
+    return spark.createDataFrame([(f, "numeric") for f in st.numeric] + [(f, "categorical") for f in st.categorical],
+                                 "feature string, kind string")
+
+
+@register("execute")
+def q_execute(spark, sf_dir):
+    """F7 over all roles: F1-F4, the confusion matrix and accuracy per role of the scored rows."""
+    return FL.execute(roles(spark, sf_dir, pdv=True), FLOW_CFG).reports["role_comparison"]
+
+
+@register("fine_tuning")
+def q_fine_tuning(spark, sf_dir):
+    """the refined scorecard's risk bands per role, with counts and PSI."""
+    cfg = FLOW_CFG.with_(custom_edges=REFINE_EDGES, transforms={"l_tax": "sqrt"}, band_cuts=tuple(REFINE_BANDS))
+    return FL.execute(roles(spark, sf_dir, pdv=True), cfg, select=False, refine=True).reports["band_psi"]
