@@ -111,3 +111,17 @@ def test_search_and_selection_do_not_depend_on_partitions(loans):
         out.append((M.sequential_select(v, feats, 2, folds=3), [r[:2] for r in M.random_search(v, draws=3, folds=2)]))
         v.unpersist()
     assert out[0] == out[1] and "x" in out[0][0]
+
+
+def test_fold_accuracies_equal_single_fits(loans):
+    v, feats = M.selection_frame(loans.withColumn("y", (F.col("status") == "Default").cast("int")), ["x", "z"], ["c"])
+    w = M.with_folds(v, 2)
+    sizes = {r["_fold"]: r["n"] for r in w.groupBy("_fold").agg(F.count("*").alias("n")).collect()}
+    want = []
+    for k in sorted(sizes):
+        m = M._fit_subset(w.where(F.col("_fold") != k), [0, 2], "l2", 1.0, sum(sizes.values()) - sizes[k])
+        s = M.VectorSlicer(inputCol="features", outputCol="sub", indices=[0, 2]).transform(w.where(F.col("_fold") == k))
+        want.append(m.transform(s).where("prediction = y").count() / sizes[k])
+    got = M.cv_accuracies(w, [[0, 2], [1]], sizes)
+    v.unpersist()
+    assert got[0] == pytest.approx(np.mean(want), abs=0.003) and got[1] < got[0]
