@@ -1046,7 +1046,7 @@ def q_inference_table(spark, sf_dir):
 
 
 REFINE_EDGES = {"l_quantity": [0.0, 10.0, 25.0, 40.0, 50.0]}
-REFINE_BANDS = [0.0, 0.1, 0.2, 0.35, 0.5, 0.65, 0.75, 0.9, 0.95, 1.0]
+REFINE_BANDS = [0.0, 0.15, 0.3, 0.45, 0.6, 0.8, 1.0]
 
 
 @register("refined_model")
