@@ -36,7 +36,7 @@ from scorecraft.llm.common import arrow_map, arrow_stream, bounded_batches, keye
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-MEMO_WORDS = 600_000
+MEMO_PIECES, MEMO_CORES = 250_000, 600_000
 MEMO_WORD_BYTES = 64
 JOINED = 256
 _MARKS = frozenset(".,!?:;")
@@ -98,9 +98,9 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.memo) > MEMO_WORDS:
+        if len(self.memo) > MEMO_PIECES:
             self.memo = {}
-        if len(self.cores) > MEMO_WORDS:
+        if len(self.cores) > MEMO_CORES:
             self.cores = {}
         fresh = list(set(filterfalse(self.memo.__contains__, chain.from_iterable(pieces))))
         split = [self._split(p) for p in fresh]
@@ -132,7 +132,7 @@ def pieces(docs: DataFrame, capacity: int, end_id: int, path: str, with_ids: boo
 
     def cut(batches):
         enc = encoder(path)
-        for b in bounded_batches(batches, "_text"):
+        for b in bounded_batches(batches, "_text", 2 << 20):  # a slice's words are all held at once
             cols = {k: [] for k in ("_id", "_th", "piece", "start", "length", "ids_crc32", "ids")}
             texts = [t.decode("utf-8", "replace") for t in b.column("_text").to_pylist()]
             for i, th, ids in zip(b.column("_id").to_pylist(), b.column("_th").to_pylist(), enc.encode(texts)):
