@@ -100,8 +100,11 @@ def search_cell(q_ids, q, theta, c_ids, c, k: int, prune: bool = True) -> list[t
         mine, keep = q[i] / q_length[i], np.arange(n)
         local = np.minimum(1.0, theta[i] / (q_length[i] * np.maximum(length[:n], 1e-300)))
         for f in np.argsort(-np.abs(mine))[:COORDINATES]:  # coordinate pruning
-            reach = np.sqrt(np.maximum(0, 1 - mine[f] ** 2) * np.maximum(0, 1 - local[keep] ** 2)) + 1e-7
-            keep = keep[np.abs(unit[keep, f] - mine[f] * local[keep]) <= reach]
+            least, m = local[keep], mine[f]  # the cosine may be anything from the local threshold to 1
+            reach = np.sqrt(np.maximum(0, 1 - m ** 2) * np.maximum(0, 1 - least ** 2)) + 1e-7
+            high = np.where(m >= least - 1e-7, 1 + 1e-7, m * least + reach)
+            low = np.where(-m >= least - 1e-7, -1 - 1e-7, m * least - reach)
+            keep = keep[(unit[keep, f] <= high) & (unit[keep, f] >= low)]
         picks[i] = keep
     rows = np.flatnonzero(whole)
     scores = dict(zip(rows.tolist(), _products(q[rows], c))) if len(rows) else {}

@@ -237,6 +237,44 @@ def test_topk(spark):
     assert topk.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def _axis_vectors(kind, rng, n=400):
+    if kind == "one-hot":
+        return np.eye(5)[rng.integers(0, 5, n)] * rng.uniform(0.2, 3, n)[:, None]
+    if kind == "dominant":
+        return np.c_[rng.uniform(0.5, 3, n) * rng.choice([-1, 1], n), rng.normal(size=(n, 4)) * 0.2]
+    return rng.normal(size=(n, int(kind))) * rng.uniform(0.05, 3, n)[:, None]
+
+
+@pytest.mark.parametrize("kind", ["1", "2", "3", "one-hot", "dominant"])
+def test_topk_cell_near_an_axis(kind):
+    rng = np.random.default_rng(6)
+    v = np.floor(1024 * _axis_vectors(kind, rng)).astype(np.int64)
+    v = v[np.argsort(-(v.astype(float) ** 2).sum(1), kind="stable")]
+    ids = rng.permutation(len(v))
+    scores = v @ v.T
+    for share in (0.9, 0.7, 0.5):  # from steep thresholds to flat ones
+        theta = np.floor(share * scores.max(1)).astype(float)
+        got = {(a, b, s) for q, c, x in topk.search_cell(ids, v, theta, ids, v, len(v)) for a, b, s in zip(q, c, x)}
+        want = {(ids[i], ids[j], scores[i, j]) for i in range(len(v)) for j in range(len(v)) if i != j and scores[i, j] >= theta[i]}
+        assert got == want
+
+
+def test_topk_near_an_axis_over_many_buckets(spark, monkeypatch):
+    rng, rows = np.random.default_rng(7), []
+    for kind in ("1", "2", "3", "one-hot", "dominant"):
+        rows += [[float(x) for x in v] for v in _axis_vectors(kind, rng, 120)]
+    vectors = topk.scaled(spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>"))
+    monkeypatch.setattr(topk, "BUCKET_ROWS", 60)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 100)
+    got = Counter(map(tuple, topk.top_k(vectors, vectors).collect()))
+    m = np.floor(1024 * np.array([[*v, *[0.0] * (5 - len(v))] for v in rows])).astype(int)
+    scores, want = m @ m.T, Counter()
+    for q in range(len(m)):
+        best = sorted((-int(scores[q, c]), c) for c in range(len(m)) if c != q)[:10]
+        want.update((q, n, c, -s) for n, (s, c) in enumerate(best, 1))
+    assert got == want
+
+
 def test_suffix_array_and_prefixes():
     rng = np.random.default_rng(1)
     for _ in range(60):
