@@ -6,11 +6,15 @@ the blocks main text or not from ancestor and text features; Viterbi decodes
 it, and the main blocks are joined in page order.
 
 The chain is trained on labelled pages: at most ``TRAIN_PAGES`` pages of the
-table, chosen by a hash of their id. Pages that mark their article (``article``
+table, chosen by a hash of their content whatever their length. They are read
+where they lie; of a page with more than ``RUNS * RUN`` blocks, ``RUNS`` evenly
+spaced runs of ``RUN`` blocks are used. Pages that mark their article (``article``
 or ``main``) are labelled by that mark. Since one site's layout teaches only
 itself, the same pages' sentences are also set into ``LAYOUTS`` labelled
 layouts with menus, notices, adverts, forms, sidebars, comments and other
-containers. Extraction is one pass over the whole table without a shuffle.
+containers. A sentence is a block of ``SENTENCE`` code points or more, so scripts
+without spaces have them too; if no page has one, the layouts are filled with
+the blocks there are, or with ``FILLER``. Extraction is one pass over the whole table without a shuffle.
 
 Defined cases: a null or empty page has the empty text; text outside any tag is
 a block; unclosed and stray tags are tolerated; repeated rows give equal rows;
@@ -23,6 +27,7 @@ from __future__ import annotations
 import html
 import random
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,8 +38,10 @@ from scorecraft.llm import crf
 from scorecraft.llm.common import arrow_stream, bounded_batches
 
 TRAIN_PAGES = 200
-TRAIN_PAGE_CHARS = 20_000
+RUNS, RUN = 4, 64
 LAYOUTS = 600
+SENTENCE = 12
+FILLER = "Some words that stand for a sentence."
 
 # HTML vocabulary (fixed values of the standard)
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
@@ -181,11 +188,17 @@ def weak_labels(page: list[Block]) -> list[int] | None:
     return [int(bool(b.tags & {"article", "main"}) and not b.tags & off and not any(b.hints[1:3])) for b in page]
 
 
+def beginning(sentence: str, n: int) -> str:
+    """The first n words; of a text of hardly any spaces, that many short runs of code points."""
+    words = sentence.split()
+    return " ".join(words[:n]) if len(words) > 3 else sentence[:4 * n]
+
+
 def layout(sentences: list[str], rng: random.Random) -> str:
     """One labelled page: ``data-y`` marks main text (1) and the rest (0)."""
     pick, chance = rng.choice, lambda p: rng.random() < p
     say = lambda n=1: html.escape(" ".join(rng.choice(sentences) for _ in range(n)), quote=False)
-    few = lambda n=3: html.escape(" ".join(rng.choice(sentences).split()[:rng.randint(1, n)]), quote=False)
+    few = lambda n=3: html.escape(beginning(rng.choice(sentences), rng.randint(1, n)), quote=False)
     links = lambda n: "".join(f'<li><a href="/x">{few()}</a></li>' for _ in range(n))
     attr = lambda *names: pick(["class", "id"]) + f'="{pick(names)}"'
 
@@ -255,28 +268,54 @@ def layout(sentences: list[str], rng: random.Random) -> str:
     return f"<html><head><title>{few()}</title></head><body>{''.join(before)}{open_}{''.join(body)}{close}{''.join(after)}</body></html>"
 
 
-def fit(pages: DataFrame, train_pages: int = TRAIN_PAGES, layouts: int = LAYOUTS, seed: int = 9) -> crf.Crf | None:
-    """The chain trained on a bounded sample of the pages and layouts made of their sentences."""
-    short = pages.where(F.length("html").between(1, TRAIN_PAGE_CHARS))
+def training_rows(pages: DataFrame, train_pages: int, seed: int) -> list:
+    """Bounded extracts of at most ``train_pages`` pages: the sizes of the runs, whether
+    they are labelled, packed features and labels, and the sentences."""
     place = F.pmod(F.xxhash64("html", F.lit(seed)), F.lit(2**30))  # by hash, so that few pages move whatever the table's size
-    near = short.select("html").where(place < int(2**30 * min(1.0, 2 * train_pages / max(1, short.count()))))
-    sample = near.orderBy(place, "html").limit(train_pages).collect()
-    xs, ys, sentences = [], [], []
-    for r in sample:
-        page = blocks(r["html"])
-        sentences += [b.text[:300] for b in page if len(b.text.split()) > 3]
-        if page and (y := weak_labels(page)):
-            xs.append(features(page))
-            ys.append(y)
+    some = pages.where(F.length("html") > 0)
+    near = some.select(place.cast("long").alias("place"), "html").where(
+        place < int(2**30 * min(1.0, 2 * train_pages / max(1, some.count()))))
+
+    def run(batches):
+        for b in bounded_batches(batches, "html", 4 << 20):
+            out = {c: [] for c in ("place", "page", "sizes", "marked", "x", "y", "texts")}
+            for at, text in zip(b.column("place").to_pylist(), b.column("html").to_pylist()):
+                page = blocks(text)
+                starts = [0] if len(page) <= RUNS * RUN else [k * (len(page) - RUN) // (RUNS - 1) for k in range(RUNS)]
+                ends = [len(page) if len(starts) == 1 else i + RUN for i in starts]
+                x, y = features(page), weak_labels(page)
+                used = np.concatenate([np.arange(i, j) for i, j in zip(starts, ends)])
+                out["place"].append(at)
+                out["page"].append(zlib.crc32(text.encode()))
+                out["sizes"].append([j - i for i, j in zip(starts, ends)])
+                out["marked"].append(bool(page) and y is not None)
+                out["x"].append(zlib.compress(x[used].tobytes(), 1))
+                out["y"].append([] if y is None else [y[i] for i in used])
+                out["texts"].append([page[i].text[:300] for i in used])
+            yield out
+
+    read = arrow_stream(near, run, "place long, page long, sizes long[], marked boolean, x binary, y long[], texts string[]")
+    return read.orderBy("place", "page").limit(train_pages).collect()
+
+
+def fit(pages: DataFrame, train_pages: int = TRAIN_PAGES, layouts: int = LAYOUTS, seed: int = 9) -> crf.Crf:
+    """The chain trained on a bounded sample of the pages and layouts made of their sentences."""
+    xs, ys, lengths, texts = [], [], [], []
+    for r in training_rows(pages, train_pages, seed):
+        texts += r["texts"]
+        if r["marked"]:
+            xs.append(np.frombuffer(zlib.decompress(r["x"])).reshape(len(r["y"]), -1))
+            ys += r["y"]
+            lengths += r["sizes"]
     rng = random.Random(seed)
-    if not sentences:
-        return None
+    sentences = [t for t in texts if len(t) >= SENTENCE] or texts or [FILLER]
     for _ in range(layouts):
         page = blocks(layout(sentences, rng))
         if page:
             xs.append(features(page))
-            ys.append([b.label or 0 for b in page])
-    return crf.fit(np.vstack(xs), np.concatenate(ys).astype(np.int64), np.array([len(y) for y in ys]), l2=0.5)
+            ys += [b.label or 0 for b in page]
+            lengths.append(len(page))
+    return crf.fit(np.vstack(xs), np.array(ys, np.int64), np.array(lengths), l2=0.5)
 
 
 def main_texts(model: crf.Crf | None, pages: list[str]) -> list[str]:

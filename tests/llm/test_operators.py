@@ -335,6 +335,26 @@ def test_html_model(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def _article_pages(paragraph, n, heading, menu):
+    return [(i, f"<html><body><nav><ul><li><a href=x>{menu}</a></li></ul></nav><article><h1>{heading}</h1>"
+             f"{''.join(f'<p>{paragraph()}</p>' for _ in range(n))}</article><footer>&copy; {menu}</footer></body></html>") for i in range(12)]
+
+
+@pytest.mark.parametrize("kind", ["long", "unspaced", "short"])
+def test_html_pages_of_any_length_and_script(spark, kind):
+    rng = random.Random(12)
+    signs = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    pages = {"long": lambda: _article_pages(lambda: sentence(40).capitalize() + ".", 300, sentence(5), WORDS[0]),
+             "unspaced": lambda: _article_pages(lambda: signs(70) + "。", 5, signs(8), signs(2)),
+             "short": lambda: _article_pages(lambda: rng.choice(["yes.", "no no.", "ok."]), 4, "a b", "x")}[kind]()
+    assert kind != "long" or min(len(p) for _, p in pages) > 20_000
+    df = spark.createDataFrame([(i, "u", p) for i, p in pages], "page_id long, url string, html string")
+    for r in html_extract.extract(df).collect():
+        inner = html_extract.blocks(pages[r["page_id"]][1].split("<article>")[1].split("</article>")[0])
+        found = r["text"].split("\n\n")
+        assert sum(b.text in found for b in inner) >= (0.95 if kind != "short" else 0.6) * len(inner)
+
+
 def test_alignment_against_dynamic_programming():
     rng = np.random.default_rng(0)
     for _ in range(300):
