@@ -48,14 +48,15 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
     figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre
     search section summary table tbody td tfoot th thead title tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|canvas|title"
+# not read as text up to their end tag; without one, only script and style run to the end of the page
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in "noscript template svg iframe textarea select canvas title".split()}
 # a tag that opens closes the open one of its kind
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
         "option": {"option"}, "p": {"p"}}
 SCOPE = frozenset("ul ol dl table div article section main aside nav body form blockquote td th".split())
 
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    rf"|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+                    r"|<(script|style)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
                     rf"|<(/?)([a-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-label|data-y)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORDS = re.compile(r"[a-z]+|\d")
@@ -106,7 +107,8 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(s, tags, own, hints, min(linked, len(s)), label))
         linked = 0
 
-    for m in _TOKEN.finditer(page):
+    unclosed: set[str] = set()  # raw tags without a further end tag
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             piece = page[at:m.start()]
             text.append(piece)
@@ -116,6 +118,15 @@ def blocks(page: str) -> list[Block]:
         if m[3] is None:  # a comment, declaration or raw element
             continue
         tag = m[3].lower()
+        if tag in RAW and not m[2]:
+            if tag == "svg" and m[4].endswith("/"):
+                continue
+            end = None if tag in unclosed else RAW[tag].search(page, at)
+            if end:
+                at = end.end()
+            else:
+                unclosed.add(tag)
+            continue
         if tag == "br":
             text.append(" ")
             continue

@@ -310,6 +310,18 @@ def test_html():
     assert page("") == [] and [b.text for b in page("<head><title>t</title><body>x")] == ["x"]
 
 
+def test_html_raw_elements_end_with_themselves():
+    texts = lambda page: [b.text for b in html_extract.blocks(page)]
+    for open_ in ("<svg-icon></svg-icon>", "<select-menu>", "<title-bar></title-bar>", '<svg width="1"/>', "<svg/>", "<math/>",
+                  "<svg viewBox=x>", "<select>", "<object data=x>", "<template>", "<script-box></script-box>"):
+        assert texts(f"<article>{open_}<p>all the text</p></article><p>more") == ["all the text", "more"], open_
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds<object><p>fallback</p></object>") == ["so x=2 holds", "fallback"]
+    for tag in ("svg", "title", "template", "select", "noscript", "iframe", "textarea", "canvas", "script", "style"):
+        assert texts(f"<p>a</p><{tag} class='x'>gone<p>gone</{tag.upper()} ><p>b") == ["a", "b"], tag
+    assert texts("<p>a<script>gone<p>gone") == ["a"]
+    assert len(texts("<p>a<select>" * 20_000)) == 20_000
+
+
 def test_html_model(spark):
     rng, said = random.Random(3), [sentence(14).capitalize() + "." for _ in range(60)]
     body = lambda: "".join(f"<p>{rng.choice(said)} {rng.choice(said)}</p>" for _ in range(4))
