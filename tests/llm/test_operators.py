@@ -401,3 +401,46 @@ def test_near_dedup(docs, empty, spark):
     kept = near_dedup.representatives(docs)
     assert kept.columns == docs.columns and kept.where("doc_id in (15, 16, 17)").count() == 1 and kept.where("doc_id = 0").count() == 1
     assert near_dedup.near_duplicates(empty).count() == 0
+
+
+def _classes_by_all_pairs(texts):
+    """The least place of each text's class, from all pairs."""
+    words = [np.array([zlib.crc32(w.encode()) for w in t.lower().split()], np.uint64) for t in texts]
+    label = list(range(len(texts)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if align.similarity_at_least(words[i], words[j], 0.8):
+                label[max(root(i), root(j))] = min(root(i), root(j))
+    return [root(i) for i in range(len(texts))]
+
+
+def _substituted(words, n, rng):
+    """``words`` with n of them replaced at even distances."""
+    out = list(words)
+    for k in range(n):
+        out[int((k + 0.5) * len(out) / n)] = f"new{rng.randrange(10**9)}"
+    return " ".join(out)
+
+
+def _near_classes(spark, texts):
+    got = near_dedup.near_duplicates(spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)], DOCS)).collect()
+    return [r["class_id"] for r in sorted(got, key=lambda r: r["doc_id"])]
+
+
+def test_near_dedup_among_boilerplate(spark):
+    rng, texts = random.Random(21), []
+    shared = [f"all{i}" for i in range(155)]
+    own = lambda n: [f"own{rng.randrange(10**9)}" for _ in range(n)]
+    for g in range(150):  # texts that share 155 of 200 words; every fifth has a near copy, 18 of 45 own words replaced
+        mine = own(45)
+        texts.append(" ".join(shared + mine))
+        if g % 5 == 0:
+            texts.append(" ".join(shared) + " " + _substituted(mine, 18, rng))
+    want = _classes_by_all_pairs(texts)
+    assert len(set(want)) == 150 and _near_classes(spark, texts) == want
