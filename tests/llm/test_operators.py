@@ -444,3 +444,36 @@ def test_near_dedup_among_boilerplate(spark):
             texts.append(" ".join(shared) + " " + _substituted(mine, 18, rng))
     want = _classes_by_all_pairs(texts)
     assert len(set(want)) == 150 and _near_classes(spark, texts) == want
+
+
+def test_prefixes_meet_every_partner():
+    rng = np.random.default_rng(5)
+    for _ in range(3000):
+        a = rng.integers(0, 2**60, rng.integers(1, 80)).astype(np.uint64)
+        b = a.copy()
+        for _ in range(rng.integers(0, 8)):
+            i = rng.integers(0, len(b) + 1)
+            b = [np.insert(b, i, rng.integers(0, 2**60)), np.delete(b, min(i, len(b) - 1)) if len(b) > 1 else b, np.r_[b[:i], b[:1], b[i + 1:]]][rng.integers(0, 3)].astype(np.uint64)
+        if np.array_equal(a, b) or not align.similarity_at_least(a, b, 0.8):
+            continue
+        keys = []
+        for x in (a, b):
+            keys.append({g for k, first, _ in near_dedup.prefixes(len(x), 0.8) for g in sorted(near_dedup.labelled_kmers(x, k).tolist())[:first]})
+        assert len(keys[0] & keys[1]) >= min(shared for x in (a, b) for *_, shared in near_dedup.prefixes(len(x), 0.8))
+
+
+def test_near_dedup_finds_all_pairs_just_above_the_bound(spark):
+    rng, texts, pairs = random.Random(22), [], []
+    own = lambda n: [f"own{rng.randrange(10**9)}" for _ in range(n)]
+    for n in [*range(4, 13), 20, 40, 60, 100, 200] * 6:
+        words = own(n)
+        texts.append(" ".join(words))
+        if n == 4:
+            texts.append(" ".join([*words[:2], "in", *words[2:]]))
+        else:
+            texts.append(_substituted(words, rng.randint(max(1, int(0.15 * n)), int(0.2 * n + 1e-9)), rng))
+        pairs.append((len(texts) - 2, len(texts) - 1))
+    want, got = _classes_by_all_pairs(texts), _near_classes(spark, texts)
+    assert all(want[a] == want[b] for a, b in pairs)
+    found = sum(got[a] == got[b] for a, b in pairs)
+    assert (found, len(pairs)) == (84, 84) and got == want
