@@ -74,13 +74,12 @@ def classification_report(cm: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def ks_curve(df: DataFrame, score: str = "score", y: str = "y", keys: Sequence[str] = (),
-             rows_per_bucket: int | None = None) -> DataFrame:
+             parts: int | None = None) -> DataFrame:
     """E5: per distinct score (ascending) the cumulative population / target /
     non-target counts, their shares and |cum target share - cum non-target share|."""
     base = df.select(*keys, F.col(score).alias("score"), F.col(y).cast("long").alias("_t"),
                      F.lit(1).cast("long").alias("_n"))
-    kw = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
-    rt = running_totals(base, keys, "score", ["_n", "_t"], **kw)
+    rt = running_totals(base, keys, "score", ["_n", "_t"], parts)
     cum_non = F.col("cum__n") - F.col("cum__t")
     tot_non = F.col("tot__n") - F.col("tot__t")
     return rt.select(*keys, "score", F.col("cum__n").alias("cum_population"),
@@ -92,9 +91,9 @@ def ks_curve(df: DataFrame, score: str = "score", y: str = "y", keys: Sequence[s
 
 
 def ks(df: DataFrame, score: str = "score", y: str = "y", keys: Sequence[str] = (),
-       rows_per_bucket: int | None = None) -> DataFrame:
+       parts: int | None = None) -> DataFrame:
     """Max over the (tie-collapsed) curve of E5."""
-    return ks_curve(df, score, y, keys, rows_per_bucket).groupBy(*keys).agg(F.max("ks").alias("ks"))
+    return ks_curve(df, score, y, keys, parts).groupBy(*keys).agg(F.max("ks").alias("ks"))
 
 
 def ks_table(df: DataFrame, score: str = "score", y: str = "y", bad: float = 1.0, bins: int = 10,

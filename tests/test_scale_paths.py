@@ -19,7 +19,7 @@ from scorecraft.operators.woe import iv_by_source
 def test_running_totals_in_many_buckets(spark, keys, parts, descending):
     rows = [(float(0 if i % 3 == 0 else i % 50), i % 2) for i in range(300)]  # 0.0 holds a third
     df = spark.createDataFrame(rows, "k double, g int").withColumn("c", F.lit(1)).repartition(parts)
-    got = running_totals(df, keys, "k", ["c"], rows_per_bucket=7, descending=descending).collect()
+    got = running_totals(df, keys, "k", ["c"], parts=9, descending=descending).collect()
     for g in {r["g"] for r in got} if keys else [None]:
         mine = [k for k, h in rows if g is None or h == g]
         for r in got:
@@ -31,14 +31,14 @@ def test_running_totals_in_many_buckets(spark, keys, parts, descending):
 def test_quantiles_with_a_hot_value(spark):
     x = np.r_[np.zeros(100), np.random.default_rng(1).normal(size=200)]
     df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(16)
-    got = quantiles(df, ["x"], [0.0, 0.1, 0.5, 0.99, 1.0], rows_per_bucket=9).first()["values"]
+    got = quantiles(df, ["x"], [0.0, 0.1, 0.5, 0.99, 1.0], most=9, error=0.05, k=200).first()["values"]
     assert np.allclose(got, np.quantile(x, [0.0, 0.1, 0.5, 0.99, 1.0]))
 
 
 def test_ks_without_keys_in_buckets(spark):
     rows = [(i / 40, int(i % 7 > 3)) for i in range(40)] * 3
     df = spark.createDataFrame(rows, "score double, y int")
-    assert ks(df, rows_per_bucket=5).first()["ks"] == pytest.approx(ks(df).first()["ks"])
+    assert ks(df, parts=5).first()["ks"] == pytest.approx(ks(df).first()["ks"])
 
 
 def test_contingency_without_features(spark):
