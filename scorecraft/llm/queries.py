@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorecraft.llm import (chat, html_extract, line_dedup, mixing, near_dedup, packing, quality, simhash,
-                            substring_dedup, topk)
+from scorecraft.llm import (chat, html_extract, importance, line_dedup, mixing, near_dedup, packing, phrases, quality,
+                            sharding, simhash, substring_dedup, topk)
 from scorecraft.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,18 @@ def op10_order_minhash(spark, sf_dir):
 @query("op8_suffix_array")
 def op8_suffix_array(spark, sf_dir):
     return substring_dedup.digest(substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")))
+
+
+@query("op11_sharding")
+def op11_sharding(spark, sf_dir):
+    return sharding.manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_importance")
+def op12_importance(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_phrases")
+def op13_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
