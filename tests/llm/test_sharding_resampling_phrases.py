@@ -199,9 +199,10 @@ def test_phrase_scores_beyond_64_bits(spark, monkeypatch):
 
 
 def test_words_of_one_hash_stay_apart():
-    lang, ids, at = np.zeros(6, int), np.array([1, 2, 1, 3, 1, 2]), np.array([0, 2, 4])
-    starts, counts = phrases._distinct(lang, ids, at, np.zeros(3, np.uint64), 2)
-    assert sorted(zip(ids[starts + 1].tolist(), counts.tolist())) == [(2, 2), (3, 1)]
+    ids, at = np.array([1, 2, 1, 3, 1, 2]), np.array([0, 2, 4])
+    for hashes in (np.zeros(3, np.uint64), np.array([5, 9, 5], np.uint64)):
+        rows, counts = phrases._distinct(ids, at, hashes, 2)
+        assert sorted(zip(rows.tolist(), counts.tolist())) == [([1, 2], 2), ([1, 3], 1)]
 
 
 def test_phrases_of_an_empty_table(empty):
