@@ -12,12 +12,15 @@ spaced runs of ``RUN`` blocks are used. Pages that mark their article (``article
 or ``main``) are labelled by that mark. Since one site's layout teaches only
 itself, the same pages' sentences are also set into ``LAYOUTS`` labelled
 layouts with menus, notices, adverts, forms, sidebars, comments and other
-containers. A sentence is a block of ``SENTENCE`` code points or more, so scripts
-without spaces have them too; if no page has one, the layouts are filled with
+containers. A sentence is a block of ``SENTENCE`` code points or more (its first ``LONGEST``),
+so scripts without spaces have them too; if no page has one, the layouts are filled with
 the blocks there are, or with ``FILLER``. Extraction is one pass over the whole table without a shuffle.
 
 Defined cases: a null or empty page has the empty text; text outside any tag is
-a block; unclosed and stray tags are tolerated; repeated rows give equal rows;
+a block; unclosed and stray tags are tolerated; a quote inside an attribute's
+name or unquoted value is a letter like others, a quote that never closes ends
+at the next space or ``>``, and a tag that never ends is text; time and memory
+grow with the page's length whatever its nesting; repeated rows give equal rows;
 a null page_id or url stays null; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -40,7 +43,9 @@ from scorecraft.llm.common import arrow_stream, bounded_batches
 TRAIN_PAGES = 200
 RUNS, RUN = 4, 64
 LAYOUTS = 600
-SENTENCE = 12
+SENTENCE, LONGEST = 12, 300
+# the attribute that marks main text (1) and the rest (0) in generated layouts
+MARK = "data-y"
 FILLER = "Some words that stand for a sentence."
 
 # HTML vocabulary (fixed values of the standard)
@@ -55,15 +60,21 @@ SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
         "option": {"option"}, "p": {"p"}}
 SCOPE = frozenset("ul ol dl table div article section main aside nav body form blockquote td th".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(script|style)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-                    rf"|<(/?)([a-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-_ATTR = re.compile(r"""\b(class|id|role|hidden|aria-label|data-y)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# a comment, declaration, script or style to its end; or the beginning of a tag
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-z][^\s/>]*)", re.S | re.I)
+_CODE = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style")}
+# what may follow a tag's name: its end, or an attribute's name (a quote in it is no quotation) and perhaps a value
+_PART = re.compile(r"[\s/]*(?:(>)|([^\s/>][^\s/>=]*)(\s*=\s*)?)")
+_BARE = re.compile(r"[^\s>]*")
+_NAMES = frozenset("class id role hidden aria-label".split())
+# tags that never end, after which a page's further ``<`` are text
+NEVER_ENDING = 16
 _WORDS = re.compile(r"[a-z]+|\d")
 
 # ancestor tags and class words that count as features
 TAGS = ("article", "main", "section", "nav", "header", "footer", "aside", "form", "ul", "ol", "table", "figure", "blockquote",
         "div", "details", "dialog", "menu", "address")
+_TAG_SET = frozenset(TAGS)
 OWN_TAGS = ("p", "li", "h1", "h2", "h3", "div", "td", "label", "button", "legend", "pre", "figcaption", "dd", "article", "body")
 HINTS = tuple(re.compile(p) for p in (
     r"\b(article|post|entry|story|content|main|body|text|prose)", r"\b(comment|reply|replies|discussion|disqus|respond)",
@@ -76,20 +87,105 @@ HINTS = tuple(re.compile(p) for p in (
 @dataclass
 class Block:
     text: str
-    tags: frozenset
+    tags: frozenset  # those of TAGS among its ancestors
     own: str
     hints: tuple
     linked: int  # characters inside links
     label: int | None
 
 
-def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page in order."""
+class _Quotes:
+    """Reads the attributes of a page's tags. A value whose quote never closes is read up to
+    the next space or ``>``; every step moves on, and the last quotes are looked up once."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {q: page.rfind(q) for q in "\"'>"}
+
+    def attributes(self, at: int) -> tuple[int, list[tuple[str, str]]] | None:
+        """(behind the tag's ``>``, its attributes), or None if the tag never ends."""
+        page, found = self.page, []
+        if at > self.last[">"]:
+            return None
+        while m := _PART.match(page, at):
+            at = m.end()
+            if m[1]:
+                return at, found
+            value = ""
+            if m[3]:
+                quote = page[at:at + 1]
+                if quote in ("\"", "'") and at < self.last[quote]:
+                    end = page.index(quote, at + 1)
+                    value, at = page[at + 1:end], end + 1
+                else:
+                    bare = _BARE.match(page, at)
+                    value, at = bare[0].strip("\"'"), bare.end()
+            found.append((m[2].lower(), value))
+        return None
+
+
+class _Stack:
+    """The open tags. An entry holds what a block inside it inherits, so that a block costs
+    the same at any depth, and positions are kept by tag, so that nothing is searched for."""
+
+    ROOT = (frozenset(), "body", (False,) * len(HINTS), None)
+
+    def __init__(self):
+        self.entries: list[tuple[str, str, int | None, tuple]] = []
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.known: dict[str, tuple] = {}
+
+    def context(self) -> tuple:
+        return self.entries[-1][3] if self.entries else self.ROOT
+
+    def push(self, tag: str, words: str, label: int | None) -> None:
+        tags, own, hints, above = self.context()
+        if words:
+            if words not in self.known:
+                self.known[words] = tuple(bool(h.search(words)) for h in HINTS)
+            hints = tuple(a or b for a, b in zip(hints, self.known[words]))
+        context = (tags | {tag} if tag in _TAG_SET and tag not in tags else tags, tag if tag in BLOCK else own, hints,
+                   above if label is None else label)
+        self.places.setdefault(tag, []).append(len(self.entries))
+        if tag in SCOPE:
+            self.scopes.append(len(self.entries))
+        self.entries.append((tag, words, label, context))
+
+    def cut(self, place: int) -> None:
+        """Close the tag at ``place`` and all inside it."""
+        while len(self.entries) > place:
+            tag = self.entries.pop()[0]
+            self.places[tag].pop()
+            if tag in SCOPE:
+                self.scopes.pop()
+
+    def close(self, tag: str) -> None:
+        if self.places.get(tag):
+            self.cut(self.places[tag][-1])
+
+    def close_kind(self, kinds: set[str]) -> None:
+        """Close the innermost open tag of these kinds unless a scope lies inside it."""
+        place = max((self.places[t][-1] for t in kinds if self.places.get(t)), default=-1)
+        if place >= 0 and (not self.scopes or place >= self.scopes[-1]):
+            self.cut(place)
+
+    def drop(self, tag: str) -> None:
+        """Forget open tags of this name and keep what is inside them."""
+        if self.places.get(tag):
+            kept = [e for e in self.entries if e[0] != tag]
+            self.cut(0)
+            for name, words, label, _ in kept:
+                self.push(name, words, label)
+
+
+def blocks(page: str, mark: str | None = None) -> list[Block]:
+    """The leaf blocks of a page in order. ``mark`` names the attribute that holds the
+    label in a page generated for training; pages of the table have none."""
     out: list[Block] = []
-    stack: list[tuple[str, str, int | None]] = []  # tag, class words, label
+    stack, quotes = _Stack(), _Quotes(page)
     text: list[str] = []
-    linked = at = links = 0
-    context: dict = {}
+    linked = at = never = 0
 
     def flush() -> None:
         nonlocal linked
@@ -97,29 +193,32 @@ def blocks(page: str) -> list[Block]:
             s = " ".join(html.unescape("".join(text)).split())
             text.clear()
             if s:
-                key = tuple(stack)
-                if key not in context:
-                    words = " ".join(w for _, w, _ in stack if w)
-                    label = next((y for _, _, y in reversed(stack) if y is not None), None)
-                    own = next((t for t, _, _ in reversed(stack) if t in BLOCK), "body")
-                    context[key] = (frozenset(t for t, _, _ in stack), own, tuple(bool(h.search(words)) for h in HINTS), label)
-                tags, own, hints, label = context[key]
+                tags, own, hints, label = stack.context()
                 out.append(Block(s, tags, own, hints, min(linked, len(s)), label))
         linked = 0
 
     unclosed: set[str] = set()  # raw tags without a further end tag
     while m := _TOKEN.search(page, at):
-        if m.start() > at:
-            piece = page[at:m.start()]
+        tag, ending = m[2].lower() if m[2] else "", bool(m[1])
+        read = quotes.attributes(m.end()) if tag and never < NEVER_ENDING else None
+        never += bool(tag and not read)
+        stop = m.start() if read or not tag else m.end()
+        if stop > at:
+            piece = page[at:stop]
             text.append(piece)
-            if links:
+            if stack.places.get("a"):
                 linked += len(piece.strip())
-        at = m.end()
-        if m[3] is None:  # a comment, declaration or raw element
+        if not read:  # a comment or declaration; or no tag but text
+            at = m.end()
+            continue
+        at, attributes = read
+        closed = page[at - 2] == "/"
+        if tag in _CODE and not ending:
+            end = None if tag in unclosed else _CODE[tag].search(page, at)
+            at = end.end() if end else len(page)
             continue
-        tag = m[3].lower()
-        if tag in RAW and not m[2]:
-            if tag == "svg" and m[4].endswith("/"):
+        if tag in RAW and not ending:
+            if tag == "svg" and closed:
                 continue
             end = None if tag in unclosed else RAW[tag].search(page, at)
             if end:
@@ -132,37 +231,19 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in BLOCK:
             flush()
-        if m[2]:
-            if any(t == tag for t, _, _ in stack):
-                while stack:
-                    t, _, _ = stack.pop()
-                    links -= t == "a"
-                    if t == tag:
-                        break
+        if ending:
+            stack.close(tag)
             continue
-        if tag in VOID or m[4].endswith("/") and tag not in BLOCK:
+        if tag in VOID or closed and tag not in BLOCK:
             continue
         if tag == "body":
-            stack[:] = [x for x in stack if x[0] != "head"]  # its end tag may be left out
+            stack.drop("head")  # its end tag may be left out
         if tag in SAME or tag in BLOCK and tag not in ("html", "body"):
-            closes = SAME.get(tag, {"p"})
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in closes:
-                    links -= sum(t == "a" for t, _, _ in stack[k:])
-                    del stack[k:]
-                    break
-                if stack[k][0] in SCOPE:
-                    break
-        words, label = "", None
-        if m[4]:
-            for name, value in _ATTR.findall(m[4]):
-                value = value.strip("\"'")
-                if name == "data-y":
-                    label = int(value)
-                else:
-                    words += " " + " ".join(_WORDS.findall((name if name == "hidden" else value).lower()))
-        stack.append((tag, words, label))
-        links += tag == "a"
+            stack.close_kind(SAME.get(tag, {"p"}))
+        words = "".join(" " + " ".join(_WORDS.findall((name if name == "hidden" else value).lower()))
+                        for name, value in attributes if name in _NAMES)
+        label = next((int(value) for name, value in attributes if name == mark), None) if mark else None
+        stack.push(tag, words, label)
     if at < len(page):
         text.append(page[at:])
     flush()
@@ -302,7 +383,7 @@ def training_rows(pages: DataFrame, train_pages: int, seed: int) -> list:
                 out["marked"].append(bool(page) and y is not None)
                 out["x"].append(zlib.compress(x[used].tobytes(), 1))
                 out["y"].append([] if y is None else [y[i] for i in used])
-                out["texts"].append([page[i].text[:300] for i in used])
+                out["texts"].append([page[i].text[:LONGEST] for i in used])
             yield out
 
     read = arrow_stream(near, run, "place long, page long, sizes long[], marked boolean, x binary, y long[], texts string[]")
@@ -321,7 +402,7 @@ def fit(pages: DataFrame, train_pages: int = TRAIN_PAGES, layouts: int = LAYOUTS
     rng = random.Random(seed)
     sentences = [t for t in texts if len(t) >= SENTENCE] or texts or [FILLER]
     for _ in range(layouts):
-        page = blocks(layout(sentences, rng))
+        page = blocks(layout(sentences, rng), MARK)
         if page:
             xs.append(features(page))
             ys += [b.label or 0 for b in page]

@@ -339,7 +339,7 @@ def test_html_model(spark):
     model = html_extract.fit(df)
     right = total = 0
     for _ in range(60):  # layouts it has not seen
-        blocks = html_extract.blocks(html_extract.layout(said, rng))
+        blocks = html_extract.blocks(html_extract.layout(said, rng), html_extract.MARK)
         path = crf.viterbi(model.scores(html_extract.features(blocks)), model.step, model.first, np.array([len(blocks)]))
         right += sum(int(y) == (b.label or 0) for y, b in zip(path, blocks))
         total += len(blocks)
