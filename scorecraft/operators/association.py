@@ -1,9 +1,8 @@
 """Association and multicollinearity.
 
 Chi-square and Cramér's V are expressions over the contingency table.
-Correlations and VIF come from one pass of pairwise moments (k(k+1)/2
-aggregates in a single ``agg``); only the k x k matrix reaches the driver,
-where numpy inverts it.
+Correlations and VIF come from one blocked pass of masked moments (``gram``); only
+k x k matrices reach the driver, where numpy inverts them.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import chi2_sf, rnd
+from .gram import complete_moments, pairwise_correlation
 
 
 def chi_square(ct: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -81,39 +81,19 @@ def cramersv_by_source(chi: DataFrame, sources: Sequence[str] = ("Test", "OOT",
                  F.first("cramers_v").alias("cramers_v")))
 
 
-def _moments(df: DataFrame, cols: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:
-    """One pass: n, means and the sample covariance matrix of complete rows."""
-    cols = list(cols)
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)]
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            aggs.append(F.covar_samp(a, cols[j]).alias(f"c_{i}_{j}"))
-    row = d.agg(*aggs).first()
-    k = len(cols)
-    cov = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            cov[i, j] = cov[j, i] = row[f"c_{i}_{j}"]
-    return int(row["n"]), np.array([row[f"m_{i}"] for i in range(k)]), cov
-
-
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation, pairwise-complete (NULL in either column skips the row).
 
-    One aggregate with k(k-1)/2 ``corr`` expressions; long output
-    (feature1, feature2, corr) over all ordered pairs, diagonal 1.
+    All pairs from one blocked pass (``gram.pairwise_correlation``); long output
+    (feature1, feature2, corr) over all ordered pairs, diagonal 1, NULL where a
+    correlation is undefined.
     """
     cols = list(cols)
-    aggs = [F.corr(a, b).alias(f"{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
-    one = df.agg(*aggs) if aggs else df.limit(1).select()
-    structs = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            v = F.lit(1.0) if i == j else F.col(f"{min(i, j)}_{max(i, j)}")
-            structs.append(F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"),
-                                    v.cast("double").alias("corr")))
-    return one.select(F.inline(F.array(*structs)))
+    if not cols:
+        return df.sparkSession.createDataFrame([], "feature1 string, feature2 string, corr double")
+    r = pairwise_correlation(df, cols)
+    rows = [(a, b, 1.0 if i == j else None if np.isnan(r[i, j]) else float(r[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "feature1 string, feature2 string, corr double")
 
 
 def correlated_pairs(corr: DataFrame, iv: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -139,7 +119,7 @@ def vif(df: DataFrame, cols: Sequence[str], with_const: bool = True) -> DataFram
     covariance and m the means.
     """
     cols = list(cols)
-    n, m, cov = _moments(df, cols)
+    n, m, cov = complete_moments(df, cols)
     sd = np.sqrt(np.diag(cov))
     corr = cov / np.outer(sd, sd)
     inv = np.linalg.pinv(corr)

@@ -59,8 +59,16 @@ def low_cardinality_levels(df: DataFrame, cols: Sequence[str], cutoff: int = 5)
     """Columns with <= cutoff distinct values (NULL counts as one).
 
     Returns (feature, n_distinct, levels array<double>, low_cardinality). One
-    distinct over (feature, value) gives the counts and the levels.
+    sketch pass finds the columns of few values; only those have their
+    (feature, value) pairs shuffled. ``n_distinct`` of the others is the sketch's.
     """
+    rough = df.agg(*[(F.approx_count_distinct(F.col(c).cast("double"), 0.02)
+                      + F.max(F.col(c).isNull().cast("int"))).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    many = [(c, rough[f"n{i}"]) for i, c in enumerate(cols) if (rough[f"n{i}"] or 0) > 2 * cutoff + 10]
+    cols = [c for c in cols if c not in dict(many)]
+    wide = df.sparkSession.createDataFrame([(c, n, None, False) for c, n in many], "feature string, n_distinct long, levels array<double>, low_cardinality boolean")
+    if not cols:
+        return wide
     values = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
               .unpivot([], list(cols), "feature", "x").distinct())
     counts = values.groupBy("feature").agg(F.count("*").alias("n_distinct"))  # one row a column
@@ -68,7 +76,7 @@ def low_cardinality_levels(df: DataFrame, cols: Sequence[str], cutoff: int = 5)
     levels = (values.where(F.col("x").isNotNull()).join(low, "feature")  # <= cutoff rows a column
               .groupBy("feature").agg(F.array_sort(F.collect_list("x")).alias("levels")))
     return (counts.join(levels, "feature", "left")
-            .select("feature", "n_distinct", "levels", (F.col("n_distinct") <= cutoff).alias("low_cardinality")))
+            .select("feature", "n_distinct", "levels", (F.col("n_distinct") <= cutoff).alias("low_cardinality")).unionByName(wide))
 
 
 def _bin_means(cells: list[tuple[int, int, float, float]], grid: list[float], edges: list[float]):

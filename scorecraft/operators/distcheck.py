@@ -1,37 +1,60 @@
 """Distribution check by adversarial validation.
 
 Rows of two sets are labelled by origin, split 70/30, preprocessed (median
-impute + robust scale + one-hot), optionally reduced by PCA (the reference's
-truncated SVD), classified, and scored with the hard-label AUC: an AUC well
+impute + robust scale + one-hot), reduced by a truncated SVD, classified, and scored with the hard-label AUC: an AUC well
 above 0.5 means the sets can be told apart.
 
 Classifiers: Gaussian naive Bayes (``NaiveBayes(modelType='gaussian')``),
-LDA / QDA (class means and covariances from one distributed aggregate, the
-discriminant evaluated as a column expression), and k-nearest-neighbours
-fitted on a bounded block of labelled rows, against which the other rows are
-scored in Arrow batches without a shuffle.
+LDA / QDA (class means and covariances from one blocked pass), and k nearest
+neighbours over an index that holds every training row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.io import save_stage
+from .gram import class_moments, matrix
 from .model import one_hot_stages, robust_scale, robust_scaler
 from .performance import auc_hard, confusion_matrix
 
 
+def svd_components(rows: DataFrame, k: int, features: str = "raw") -> np.ndarray:
+    """(dims x k) right singular vectors of the rows, not centred, largest first: a
+    truncated SVD of the sparse one-hot matrix, whose products are summed where the rows are."""
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
+
+    found = RowMatrix(MLUtils.convertVectorColumnsFromML(rows.select(features), features)).computeSVD(k)
+    v = found.V.toArray()
+    return v * np.where(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])] < 0, -1.0, 1.0)  # the sign is free: largest part positive
+
+
+def _projected(rows: DataFrame, v: np.ndarray) -> DataFrame:
+    """(x array<double>, origin): every row's coordinates along the columns of ``v``."""
+
+    def run(batches):
+        for b in batches:
+            got = matrix(b) @ v
+            ends = pa.array(np.arange(0, got.size + 1, v.shape[1]), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(got.ravel())), b.column("origin")], ["x", "origin"])
+
+    return rows.select(vector_to_array("raw").alias("x"), "origin").mapInArrow(run, "x array<double>, origin double")
+
+
 def _prepare(a: DataFrame, b: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-             seed: int, pca_k: int | None):
+             seed: int, svd_k: int | None):
     cols = [*numeric, *categorical]
     d = (a.select(*cols).withColumn("origin", F.lit(0.0))
          .unionByName(b.select(*cols).withColumn("origin", F.lit(1.0))))
@@ -41,101 +64,130 @@ def _prepare(a: DataFrame, b: DataFrame, numeric: Sequence[str], categorical: Se
     tr, te = d.where(F.col("_r") < 700), d.where(F.col("_r") >= 700)
     sc = robust_scaler(tr, numeric)
     tr, te = robust_scale(tr, sc), robust_scale(te, sc)
-    stages = one_hot_stages(categorical, "raw", numeric)
-    if pca_k:
-        stages.append(PCA(k=pca_k, inputCol="raw", outputCol="features"))
-    else:
-        stages.append(VectorAssembler(inputCols=["raw"], outputCol="features"))
-    pm = Pipeline(stages=stages).fit(tr)
-    return pm.transform(tr).select("features", "origin"), pm.transform(te).select("features", "origin")
+    pm = Pipeline(stages=one_hot_stages(categorical, "raw", numeric)).fit(tr)
+    tr, te = pm.transform(tr).select("raw", "origin"), pm.transform(te).select("raw", "origin")
+    if not svd_k:
+        return tuple(x.select(vector_to_array("raw").alias("x"), "origin") for x in (tr, te))
+    first = tr.first()
+    v = svd_components(tr, min(svd_k, len(first["raw"]) if first else svd_k))
+    return _projected(tr, v), _projected(te, v)
 
 
 def _gaussian_discriminant(tr: DataFrame, te: DataFrame, shared: bool) -> DataFrame:
-    """LDA (shared covariance) / QDA (per class) scores as a pandas-free expression."""
-    arr = tr.select(vector_to_array("features").alias("x"), "origin")
-    k = len(arr.first()["x"])
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(k)]
-    aggs += [F.covar_samp(F.col("x")[i], F.col("x")[j]).alias(f"c{i}_{j}") for i in range(k) for j in range(i, k)]
-    stats = {r["origin"]: r for r in arr.groupBy("origin").agg(*aggs).collect()}  # two rows
-    params = {}
-    pooled = np.zeros((k, k))
-    ntot = sum(stats[c]["n"] for c in stats)
-    for c, r in stats.items():
-        cov = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                cov[i, j] = cov[j, i] = r[f"c{i}_{j}"] or 0.0
-        params[c] = (np.array([r[f"m{i}"] for i in range(k)]), cov, r["n"] / ntot)
-        pooled += cov * (r["n"] - 1)
-    pooled /= max(ntot - len(stats), 1)
-    x = vector_to_array("features")
-    scores = {}
-    for c, (m, cov, prior) in params.items():
-        s = pooled if shared else cov
-        inv = np.linalg.pinv(s + 1e-9 * np.eye(k))
-        _, logdet = np.linalg.slogdet(s + 1e-9 * np.eye(k))
-        quad = None
-        for i in range(k):
-            for j in range(k):
-                if inv[i, j] == 0:
-                    continue
-                t = F.lit(float(inv[i, j])) * (x[i] - float(m[i])) * (x[j] - float(m[j]))
-                quad = t if quad is None else quad + t
-        quad = quad if quad is not None else F.lit(0.0)
-        scores[c] = -0.5 * quad - (0.0 if shared else 0.5 * logdet) + float(np.log(prior))
-    pred = F.when(scores.get(1.0, F.lit(-1e300)) > scores.get(0.0, F.lit(-1e300)), 1).otherwise(0)
-    return te.withColumn("pred", pred)
-
-
-KNN_ROWS = 4000
-
-
-def _nearest_neighbours(tr: DataFrame, te: DataFrame, rows: int = KNN_ROWS, k: int = 3) -> DataFrame:
-    """Majority of the k nearest labelled rows (Euclid). The classifier is fitted on
-    about ``rows`` training rows chosen by a hash of their content, the only rows that
-    leave the executors; every other row is scored. Ties in distance go to the earlier
-    row in the order of (origin, features)."""
-    x = vector_to_array("features")
-    share = min(1.0, rows / max(tr.count(), 1))
-    place = F.pmod(F.xxhash64(x, F.lit(7)), F.lit(2**30))
-    chosen = (tr.where(place < int(2**30 * share)).select("origin", x.alias("x"))
-              .orderBy("origin", "x").limit(2 * rows).collect())
-    if not chosen:
-        return te.withColumn("pred", F.lit(0))
-    points = np.array([r["x"] for r in chosen])
-    votes = np.array([r["origin"] for r in chosen])
-    block = te.sparkSession.sparkContext.broadcast((points, (points**2).sum(1), votes))  # 2 x rows at most
+    """LDA (shared covariance) / QDA (per class): moments from one blocked pass, the
+    quadratic forms as matrix products of a batch."""
+    k = len(tr.first()["x"])
+    stats = class_moments(tr, "x", "origin", k)
+    total = sum(n for n, _, _ in stats.values())
+    pooled = sum(cov * (n - 1) for n, _, cov in stats.values()) / max(total - len(stats), 1)
+    forms = []
+    for c, (n, mean, cov) in stats.items():
+        s = (pooled if shared else cov) + 1e-9 * np.eye(k)
+        forms.append((c, mean, np.linalg.pinv(s), np.log(n / total) - (0.0 if shared else 0.5 * np.linalg.slogdet(s)[1])))
 
     def predict(batches):
-        p, norms, vote = block.value
-        for frame in batches:
-            out = np.zeros(len(frame), np.int32)
-            for start in range(0, len(frame), 256):
-                q = np.array(frame["x"].iloc[start:start + 256].tolist())
-                d = norms[None, :] - 2 * q @ p.T
-                near = np.argsort(d, 1, kind="stable")[:, :k]
-                out[start:start + len(q)] = vote[near].mean(1) > 0.5
-            yield pd.DataFrame({"origin": frame["origin"], "pred": out})
-
-    return te.select("origin", x.alias("x")).mapInPandas(predict, "origin double, pred int")
+        for b in batches:
+            x = matrix(b)
+            scores = [const - 0.5 * np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean) for _, mean, inverse, const in forms]
+            best = np.array([c for c, *_ in forms])[np.argmax(scores, axis=0)] if len(x) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([b.column("origin"), pa.array(best.astype(np.int32))], ["origin", "pred"])
+
+    return te.select("x", "origin").mapInArrow(predict, "origin double, pred int")
+
+
+# training rows per cell of the neighbour index, cells that a row looks into, rows of a block of a cell
+CELL_ROWS, PROBES, BLOCK_ROWS = 2000, 4, 4000
+
+
+def nearest_neighbours(tr: DataFrame, te: DataFrame, k: int = 3, cell_rows: int = CELL_ROWS, probes: int = PROBES,
+                       block: int = BLOCK_ROWS) -> DataFrame:
+    """(origin, pred) of ``te`` by the majority of the k nearest rows (Euclid) of ``tr``.
+
+    Every training row is in the index: k-means cells of about ``cell_rows`` rows, whose
+    centres are fitted on a bounded sample, and a row looks into its ``probes`` nearest
+    cells (tests measure recall against brute force). A cell is cut into blocks of about
+    ``block`` rows by a hash, and a row meets every block of its cells, so a cell that
+    holds a third of all rows is many tasks. Equal training rows count as often as they
+    occur but are kept once. Ties in distance go to the smaller hash of the row.
+    """
+    points = (tr.groupBy("x").agg(F.sum(F.when(F.col("origin") == 1, 1).otherwise(0)).alias("ones"), F.count(F.lit(1)).alias("n"))
+              .withColumn("key", F.xxhash64("x")))
+    points = save_stage(points, "neighbour_points")
+    total = points.count()
+    asked = save_stage(te.groupBy("x", "origin").agg(F.count(F.lit(1)).alias("times")).withColumn("id", F.xxhash64("x", "origin")), "asked")
+    if not total:
+        return te.select("origin", F.lit(0).alias("pred"))
+    cells = max(1, min(1024, math.ceil(total / cell_rows)))
+    bound = 20 * cells
+    share = min(1.0, bound / total)
+    sample = points.where(F.pmod("key", F.lit(2**30)) < int(2**30 * share)).select(array_to_vector("x").alias("features"))
+    centres = np.array(KMeans(k=cells, seed=1, maxIter=10).fit(sample).clusterCenters()) if cells > 1 and sample.limit(cells + 1).count() > cells \
+        else np.array([points.orderBy("key").first()["x"]])
+    probes = min(probes, len(centres))
+
+    def place(many: int):
+        norms = (centres**2).sum(1)
+
+        def run(batches):
+            for b in batches:
+                d = norms[None, :] - 2 * matrix(b) @ centres.T
+                near = np.argsort(d, 1, kind="stable")[:, :many].astype(np.int32)
+                ends = pa.array(np.arange(0, near.size + 1, many), pa.int32())
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(ends, pa.array(near.ravel()))], [*b.schema.names, "cells"])
+        return run
+
+    held = points.mapInArrow(place(1), "x array<double>, ones long, n long, key long, cells array<int>").withColumn("cell", F.col("cells")[0])
+    held = save_stage(held.drop("cells"), "neighbour_cells")
+    blocks = held.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))  # at most 1024 rows
+    held = held.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod("key", F.col("blocks")).cast("int"))
+    look = (asked.mapInArrow(place(probes), "x array<double>, origin double, times long, id long, cells array<int>")
+            .select("x", "id", F.explode("cells").alias("cell")).join(F.broadcast(blocks), "cell")
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+
+    def nearest(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        p, order = matrix(right.combine_chunks().to_batches()[0]) if right.num_rows else None, right.column("key").to_numpy()
+        out = {"id": [], "d": [], "key": [], "ones": [], "n": []}
+        if p is not None:
+            rank = np.argsort(order, kind="stable")
+            p, order = p[rank], order[rank]
+            ones, n = right.column("ones").to_numpy()[rank], right.column("n").to_numpy()[rank]
+            for b in left.combine_chunks().to_batches(max_chunksize=512):
+                d = ((p**2).sum(1)[None, :] - 2 * matrix(b) @ p.T) + (matrix(b)**2).sum(1)[:, None]
+                best = np.argsort(d, 1, kind="stable")[:, :k]
+                out["id"].append(np.repeat(b.column("id").to_numpy(zero_copy_only=False), best.shape[1]))
+                out["d"].append(np.take_along_axis(d, best, 1).ravel())
+                for name, values in (("key", order), ("ones", ones), ("n", n)):
+                    out[name].append(values[best].ravel())
+        return pa.table({c: np.concatenate(v) if v else np.zeros(0, np.float64 if c == "d" else np.int64) for c, v in out.items()})
+
+    found = (look.groupBy("cell", "block").cogroup(held.select("cell", "block", "x", "key", "ones", "n").groupBy("cell", "block"))
+             .applyInArrow(nearest, "id long, d double, key long, ones long, n long"))
+    # the k nearest, a point as often as it occurs: at most k points of each block a row looked into
+    best = found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.round("d", 9).alias("d"), "key", "ones", "n"))).alias("near"))
+    used = F.aggregate("near", F.struct(F.lit(k).cast("long").alias("left"), F.lit(0.0).alias("votes")), lambda a, p: F.struct(
+        (a["left"] - F.least(a["left"], p["n"])).alias("left"), (a["votes"] + F.least(a["left"], p["n"]) * p["ones"] / p["n"]).alias("votes")))
+    pred = best.select("id", used.alias("u")).select("id", (F.col("u.votes") / (k - F.col("u.left")) > 0.5).cast("int").alias("pred"))
+    # every copy of an asked row has its prediction
+    return (asked.join(pred, "id", "left").select("origin", F.coalesce("pred", F.lit(0)).alias("pred"),
+                                                  F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("_copy")).drop("_copy"))
 
 
 def distribution_check(a: DataFrame, b: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                       method: str = "GaussianNB", seed: int = 144, pca_k: int | None = None,
-                       knn_rows: int = KNN_ROWS) -> DataFrame:
+                       method: str = "GaussianNB", seed: int = 144, svd_k: int | None = None) -> DataFrame:
     """Hard-label AUC of telling ``a`` from ``b`` (> 0.5: distributions might differ)."""
-    tr, te = _prepare(a, b, numeric, categorical, seed, pca_k)
+    tr, te = _prepare(a, b, numeric, categorical, seed, svd_k)
     tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if method == "GaussianNB":
-            m = NaiveBayes(modelType="gaussian", featuresCol="features", labelCol="origin").fit(tr)
-            out = m.transform(te).withColumn("pred", F.col("prediction").cast("int"))
+            m = NaiveBayes(modelType="gaussian", featuresCol="features", labelCol="origin").fit(
+                tr.select(array_to_vector("x").alias("features"), "origin"))
+            out = m.transform(te.select(array_to_vector("x").alias("features"), "origin")).withColumn("pred", F.col("prediction").cast("int"))
         elif method == "LinearDiscriminantAnalysis":
             out = _gaussian_discriminant(tr, te, shared=True)
         elif method == "QuadraticDiscriminantAnalysis":
             out = _gaussian_discriminant(tr, te, shared=False)
         elif method == "KNeighborsClassifier":
-            out = _nearest_neighbours(tr, te, knn_rows)
+            out = nearest_neighbours(tr, te)
         else:
             raise ValueError(f"unknown method {method}")
         cm = auc_hard(confusion_matrix(out, "origin", "pred")).collect()

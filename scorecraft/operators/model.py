@@ -17,10 +17,9 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -31,10 +30,11 @@ from pyspark.sql import functions as F
 
 from ..config import MISSING_BIN, MISSING_LEVEL
 from ..functions.exprs import rnd
-from ..sources.io import save_stage
 from . import binning as B
-from . import prep as P
+from .gram import matrix, summed
+from .lookup import replace_levels
 from .ordered import quantiles
+from .transformers import L1Logit, ScorecardBinner, ScorecardBinnerModel
 
 # ------------------------------------------------------------------ M1-M4
 
@@ -68,13 +68,8 @@ def ordinal_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def ordinal_encode(df: DataFrame, table: DataFrame, cols: Sequence[str], unknown: int = -9999) -> DataFrame:
-    """M3 apply: code per level, unseen levels -> ``unknown``."""
-    out = df
-    for c in cols:
-        m = table.where(F.col("feature") == c).select(F.col("level").alias("__l"), F.col("code").alias("__c"))
-        out = (out.join(m, F.coalesce(F.col(c).cast("string"), F.lit(MISSING_LEVEL)) == F.col("__l"), "left")
-               .withColumn(c, F.coalesce(F.col("__c"), F.lit(unknown))).drop("__l", "__c"))
-    return out
+    """M3 apply: code per level, unseen levels -> ``unknown`` (see ``lookup``)."""
+    return replace_levels(df, table, cols, "code", unknown, null_level=MISSING_LEVEL)
 
 
 def one_hot_stages(cols: Sequence[str], out: str = "features", numeric: Sequence[str] = ()) -> list:
@@ -183,34 +178,26 @@ def inference_table(spark, scored: DataFrame, lr_model, names: Sequence[str], fe
 
 @dataclass
 class Scorecard:
-    """Fitted artefacts (the reference's model dict): bins, pipeline, bands."""
-    numeric: list
-    categorical: list
-    edges: dict
+    """A fitted pipeline, whose first stage is the binning, and what reports read of it."""
     pipeline: PipelineModel
     names: list
     band_edges: list
-    low_card: dict = field(default_factory=dict)
-    groups: dict = field(default_factory=dict)
-    transforms: dict = field(default_factory=dict)
-    binned: bool = True
-
-
-def _prepare(df: DataFrame, card: Scorecard) -> DataFrame:
-    """Replay P19, P20, B6 + P18 / P17 and the categorical fill of a fitted card."""
-    out = df
-    for c, m in card.groups.items():
-        out = P.group_categories(out, c, m)
-    if card.transforms:
-        out = P.transform_numeric(out, card.transforms)
-    if card.binned:
-        out = B.apply_bins(out, card.edges, include_lowest=True, missing_bin=MISSING_BIN)
-        out = out.withColumns({c: F.col(c).cast("string") for c in card.edges})
-        out = out.withColumns({c: F.coalesce(F.col(c).cast("double").cast("string"), F.lit(str(MISSING_BIN)))
-                               for c in card.low_card})
-    else:
-        out = P.fill_unbinned_numeric(out, card.numeric)
-    return P.impute_categorical(out, card.categorical)
+
+    @property
+    def binner(self) -> ScorecardBinnerModel:
+        return self.pipeline.stages[0]
+
+    @property
+    def edges(self) -> dict:
+        return self.binner.edges
+
+    @property
+    def low_card(self) -> dict:
+        return self.binner.levels
+
+    @property
+    def binned(self) -> bool:
+        return self.binner.getOrDefault("binned")
 
 
 def build_scorecard(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], y: str = "y",
@@ -218,60 +205,37 @@ def build_scorecard(train: DataFrame, numeric: Sequence[str], categorical: Seque
                     custom_edges: Mapping[str, Sequence[float]] | None = None,
                     groups: Mapping[str, Mapping[str, str]] | None = None,
                     transforms: Mapping[str, str] | None = None, binned: bool = True,
-                    low_cardinality_cutoff: int = 5) -> Scorecard:
+                    low_cardinality_cutoff: int = 5, penalise_constant: bool = False, method: str = "quantile",
+                    max_bins: int = 20, cutoff: float = 0.001, quantiles: str = "exact") -> Scorecard:
     """M15 (first model) / M16 (refined): bins -> missing bin -> one-hot -> L1 logit -> risk bands.
 
-    Numeric columns are binned with B2 (fitted on ``train``) or ``custom_edges``
-    (B5); bins become categorical levels. Columns of at most
-    ``low_cardinality_cutoff`` distinct values keep them as levels (B4); a
-    level not seen in training encodes to zeros. Risk-band edges are quantiles
+    Numeric columns are binned with B2 (or B3, ``method="monotonic"``) fitted on
+    ``train``, or ``custom_edges`` (B5); bins become categorical levels. Columns of at
+    most ``low_cardinality_cutoff`` distinct values keep them as levels (B4); a
+    level not seen in training encodes to zeros. ``penalise_constant`` fits the
+    reference's own objective (``transformers.L1Logit``). Risk-band edges are quantiles
     of the training probabilities (B10) or the given cut points.
     """
-    spark = train.sparkSession
-    numeric, categorical = list(numeric), list(categorical)
-    grp = {c: save_stage(P.category_map(train, c, m), f"category_map_{c}") for c, m in (groups or {}).items()}
-    base = train
-    for c, m in grp.items():
-        base = P.group_categories(base, c, m)
-    if transforms:
-        base = P.transform_numeric(base, transforms)
-    edges, low_card = {}, {}
-    if binned:
-        fit_cols = [c for c in numeric if c not in (custom_edges or {})]
-        if fit_cols:
-            found = B.low_cardinality_levels(base, fit_cols, low_cardinality_cutoff)
-            low_card = {r["feature"]: list(r["levels"] or []) for r in found.where("low_cardinality").collect()}
-            fit_cols = [c for c in fit_cols if c not in low_card]
-        if fit_cols:
-            edges = B.edges_dict(B.forced_edges(base, fit_cols, bins))
-        edges.update({c: B.round_edges(sorted(set(v))) for c, v in (custom_edges or {}).items()})
-    card = Scorecard(numeric, categorical, edges, None, [], [], low_card=low_card, groups=grp,
-                     transforms=dict(transforms or {}), binned=binned)
-    prepared = _prepare(train, card)
-    cat_cols = ([*edges, *low_card] if binned else []) + categorical
-    num_cols = [] if binned else numeric
-    stages = one_hot_stages(cat_cols, "features", num_cols)
-    n = train.count()
-    lr = logistic("l1", alpha=alpha, n_rows=n, label=y)
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    binner = ScorecardBinner(numeric=list(numeric), categorical=list(categorical), label=y, binned=binned, bins=bins, method=method,
+                             maxBins=max_bins, cutoff=cutoff, lowCardinality=low_cardinality_cutoff, quantiles=quantiles,
+                             customEdges={c: [float(x) for x in e] for c, e in (custom_edges or {}).items()},
+                             groups={c: dict(m) for c, m in (groups or {}).items()}, transforms=dict(transforms or {})).fit(train)
+    num_cols = [] if binned else list(numeric)
+    prepared = binner.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = Pipeline(stages=[*stages, lr]).fit(prepared)
-        card.pipeline = model
-        card.names = one_hot_names(model, cat_cols, num_cols)
-        s = score(model, prepared)
-        if isinstance(bands, int):
-            card.band_edges = list(B.risk_band_edges(s, "p", bands).first()["edges"])
-        else:
-            card.band_edges = list(bands)
+        last = (L1Logit(label=y, alpha=float(alpha)) if penalise_constant
+                else logistic("l1", alpha=alpha, n_rows=prepared.count(), label=y))
+        fitted = Pipeline(stages=[*one_hot_stages(binner.columns, "features", num_cols), last]).fit(prepared)
+        s = score(fitted, prepared)
+        cuts = list(B.risk_band_edges(s, "p", bands).first()["edges"]) if isinstance(bands, int) else list(bands)
     finally:
         prepared.unpersist()
-    return card
+    return Scorecard(PipelineModel([binner, *fitted.stages]), one_hot_names(fitted, binner.columns, num_cols), cuts)
 
 
 def apply_scorecard(df: DataFrame, card: Scorecard, y: str = "y") -> DataFrame:
     """Replay preparation, score, and assign risk bands (B11) on any role."""
-    s = score(card.pipeline, _prepare(df, card))
-    return B.assign_risk_band(s, card.band_edges, "p", "risk_band")
+    return B.assign_risk_band(score(card.pipeline, df), card.band_edges, "p", "risk_band")
 
 
 def lr_stage(card: Scorecard):
@@ -317,76 +281,77 @@ def with_folds(v: DataFrame, folds: int, y: str = "y", seed: int = 144) -> DataF
                                         F.lit(folds)).cast("int"))
 
 
-def _summed(rows: DataFrame, fn, width: int) -> np.ndarray:
-    """Sum over all rows of ``fn(x, y, fold)``, a vector of ``width`` numbers a batch:
-    one vector a partition, added by position before it leaves the executors."""
-
-    def run(batches):
-        total = np.zeros(width)
-        for f in batches:
-            if len(f):
-                x = np.column_stack([np.ones(len(f)), np.array(f["x"].tolist())])
-                total += fn(x, f["y"].to_numpy(float), f["_fold"].to_numpy())
-        yield pd.DataFrame({"v": [total.tolist()]})
-
-    parts = rows.mapInPandas(run, "v array<double>").select(F.posexplode("v").alias("i", "v"))
-    out = np.zeros(width)
-    for r in parts.groupBy("i").agg(F.sum("v").alias("v")).collect():
-        out[r["i"]] = r["v"]
+def cv_accuracies(v: DataFrame, trials: Sequence[Sequence[int]], sizes: Mapping[int, int], y: str = "y",
+                  C: float = 1.0, passes: int = 30, tol: float = 1e-6, block: int = 4_000_000) -> list[float]:
+    """Mean accuracy over the folds of ``with_folds`` (``sizes``: rows per fold) of an L2
+    logistic on each trial's features. Trials and folds are fitted together: a pass
+    over the rows sums every live model's loss, gradient and Hessian (the upper half),
+    and Newton steps (halved where the loss rose) follow on the driver, on k x k
+    matrices. Trials go in groups whose sums stay below ``block`` numbers a partition."""
+    width = max((2 + len(t) + (1 + len(t)) * (2 + len(t)) // 2 for t in trials), default=1) * max(len(sizes), 1)
+    per = max(block // width, 1)
+    out = []
+    for i in range(0, len(trials), per):
+        out += _cv_group(v, trials[i:i + per], sizes, y, C, passes, tol)
     return out
 
 
-def cv_accuracies(v: DataFrame, trials: Sequence[Sequence[int]], sizes: Mapping[int, int], y: str = "y",
-                  C: float = 1.0, passes: int = 30, tol: float = 1e-6) -> list[float]:
-    """Mean accuracy over the folds of ``with_folds`` (``sizes``: rows per fold) of an L2
-    logistic on each trial's features. All trials and folds are fitted together: a pass
-    over the rows sums every model's loss, gradient and Hessian, and Newton steps
-    (halved where the loss rose) follow on the driver, on k x k matrices."""
+def _cv_group(v, trials, sizes, y, C, passes, tol) -> list[float]:
     models = [([0, *[i + 1 for i in t]], k) for t in trials for k in sorted(sizes)]
-    widths = [1 + len(m) + len(m) ** 2 for m, _ in models]
-    at = np.r_[0, np.cumsum(widths)]
     rows = v.select(vector_to_array("features").alias("x"), F.col(y).cast("double").alias("y"), "_fold")
     beta = [np.zeros(len(m)) for m, _ in models]
     last = [(np.inf, b) for b in beta]
-    live = set(range(len(models)))
-
-    def sums(x, t, fold):
-        out = np.zeros(at[-1])
-        for j in live:
-            cols, k = models[j]
-            mine = x[fold != k][:, cols]
-            z = mine @ beta[j]
-            p, ty = 1 / (1 + np.exp(-np.clip(z, -500, 500))), t[fold != k]
-            out[at[j]] = (np.logaddexp(0, z) - ty * z).sum()
-            out[at[j] + 1:at[j] + 1 + len(cols)] = mine.T @ (p - ty)
-            out[at[j] + 1 + len(cols):at[j + 1]] = ((mine * (p * (1 - p))[:, None]).T @ mine).ravel()
-        return out
+    live = list(range(len(models)))
+    upper = {n: np.triu_indices(n) for n in {len(m) for m, _ in models}}
+
+    def parts(batch):
+        x = np.column_stack([np.ones(batch.num_rows), matrix(batch)])
+        return x, batch.column("y").to_numpy(zero_copy_only=False), batch.column("_fold").to_numpy(zero_copy_only=False)
 
     for _ in range(passes):
-        total = _summed(rows, sums, int(at[-1]))
-        for j in sorted(live):
+        at = np.r_[0, np.cumsum([1 + len(beta[j]) + len(upper[len(beta[j])][0]) for j in live])]
+
+        def sums(batch, live=live, at=at):
+            x, t, fold = parts(batch)
+            total = np.zeros(at[-1])
+            train = {k: fold != k for k in sizes}
+            for spot, j in zip(at, live):
+                cols, k = models[j]
+                mine, ty = x[train[k]][:, cols], t[train[k]]
+                z = mine @ beta[j]
+                p, n = 1 / (1 + np.exp(-np.clip(z, -500, 500))), len(cols)
+                total[spot] = (np.logaddexp(0, z) - ty * z).sum()
+                total[spot + 1:spot + 1 + n] = mine.T @ (p - ty)
+                total[spot + 1 + n:spot + 1 + n + len(upper[n][0])] = ((mine * (p * (1 - p))[:, None]).T @ mine)[upper[n]]
+            return total
+
+        total, still = summed(rows, sums, int(at[-1])), []
+        for spot, j in zip(at, live):
             n = len(beta[j])
             ridge = np.r_[0.0, np.full(n - 1, 1 / C)]  # the intercept goes free
-            loss = total[at[j]] + 0.5 * (ridge * beta[j] ** 2).sum()
+            loss = total[spot] + 0.5 * (ridge * beta[j] ** 2).sum()
             if loss > last[j][0] + 1e-9 * abs(last[j][0]):
                 beta[j] = (beta[j] + last[j][1]) / 2
+                still.append(j)
                 continue
-            grad = total[at[j] + 1:at[j] + 1 + n] + ridge * beta[j]
-            hess = total[at[j] + 1 + n:at[j + 1]].reshape(n, n) + np.diag(ridge)
-            step = np.linalg.pinv(hess) @ grad
+            half = np.zeros((n, n))
+            half[upper[n]] = total[spot + 1 + n:spot + 1 + n + len(upper[n][0])]
+            hess = half + half.T - np.diag(np.diag(half)) + np.diag(ridge)
+            step = np.linalg.pinv(hess) @ (total[spot + 1:spot + 1 + n] + ridge * beta[j])
             last[j] = (loss, beta[j])
             beta[j] = beta[j] - step
-            if np.abs(step).max() < tol:
-                live.discard(j)
+            if np.abs(step).max() >= tol:
+                still.append(j)
+        live = still
         if not live:
             break
 
-    def right(x, t, fold):
+    def right(batch):
+        x, t, fold = parts(batch)
         return np.array([((x[fold == k][:, cols] @ beta[j] > 0) == (t[fold == k] == 1)).sum()
                          for j, (cols, k) in enumerate(models)], float)
 
-    hits = _summed(rows, right, len(models))
-    share = hits / np.array([sizes[k] for _, k in models])
+    share = summed(rows, right, len(models)) / np.array([sizes[k] for _, k in models])
     return share.reshape(len(trials), len(sizes)).mean(1).tolist()
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..config import BAD_LABEL, GOOD_LABEL, MISSING_LEVEL
 from ..functions.exprs import rnd
+from .lookup import replace_levels
 from .ordered import quantiles
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -146,9 +147,17 @@ def high_cardinality(df: DataFrame, cols: Sequence[str], max_levels: int = 15,
     """P14 fit: string features with more than ``max_levels`` distinct non-NULL values."""
     if not cols:
         return []
-    agg = F.approx_count_distinct if approx else F.countDistinct
-    row = df.agg(*[agg(c).alias(c) for c in cols]).first()
-    return [c for c in cols if row[c] > max_levels]
+    row = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    if approx:
+        return [c for i, c in enumerate(cols) if row[f"n{i}"] > max_levels]
+    # one sketch pass; only columns near the cut, which have few values, are counted exactly
+    near = [c for i, c in enumerate(cols) if max_levels / 2 < row[f"n{i}"] <= 2 * max_levels + 10]
+    over = {c for i, c in enumerate(cols) if row[f"n{i}"] > 2 * max_levels + 10}
+    if near:
+        exact = (df.select(*[F.col(c).cast("string").alias(c) for c in near]).unpivot([], near, "feature", "x")
+                 .where(F.col("x").isNotNull()).distinct().groupBy("feature").count())
+        over |= {r["feature"] for r in exact.where(F.col("count") > max_levels).collect()}
+    return [c for c in cols if c in over]
 
 
 def impute_values(df: DataFrame, cols: Sequence[str], how: str = "median",
@@ -208,13 +217,11 @@ def category_map(train: DataFrame, col: str, groups: Mapping[str, str]) -> DataF
 def group_categories(df: DataFrame, col: str, mapping: DataFrame, level: str = MISSING_LEVEL) -> DataFrame:
     """P19 apply: replace levels by their group; levels unseen in train -> 'missing'.
 
-    ``mapping`` has one row per training level (bounded by the cardinality
-    filter), so AQE plans it as a broadcast hash join.
+    ``mapping`` has one row per training level; :func:`lookup.replace_levels` says how
+    its size decides the plan.
     """
-    m = mapping.select(F.col("level").alias("__lvl"), F.col("grouped").alias("__grp"))
-    return (df.join(m, F.col(col).cast("string") == F.col("__lvl"), "left")
-            .withColumn(col, F.coalesce(F.col("__grp"), F.lit(level)))
-            .drop("__lvl", "__grp"))
+    table = mapping.select(F.lit(col).alias("feature"), "level", "grouped")
+    return replace_levels(df, table, [col], "grouped", level)
 
 
 def transform_numeric(df: DataFrame, how: Mapping[str, str]) -> DataFrame:

@@ -17,8 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import MISSING_LEVEL
 from ..functions.exprs import ln_ratio, rnd, safe_div, woe
 from . import binning
+from .lookup import replace_levels
 from .profile import contingency
 
 
@@ -75,22 +77,8 @@ def woe_encoder_table(df: DataFrame, cols: Sequence[str], y: str = "y", reg: flo
 
 
 def woe_encode(df: DataFrame, table: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """W4 transform: replace each level by its WOE; unknown levels -> 0.
-
-    The encoder table has sum(#levels) rows (bounded by the cardinality
-    limit of the flow), so each lookup is a broadcast-size join that AQE
-    turns into a broadcast hash join.
-    """
-    out = df
-    for c in cols:
-        m = table.where(F.col("feature") == c).select(F.col("level").alias(f"__l_{c}"),
-                                                      F.col("woe").alias(f"__w_{c}"))
-        key = F.coalesce(F.col(c).cast("string"), F.lit("missing"))
-        out = (out.withColumn(f"__k_{c}", key)
-               .join(m, F.col(f"__k_{c}") == F.col(f"__l_{c}"), "left")
-               .withColumn(c, F.coalesce(F.col(f"__w_{c}"), F.lit(0.0)))
-               .drop(f"__k_{c}", f"__l_{c}", f"__w_{c}"))
-    return out
+    """W4 transform: replace each level by its WOE; unknown levels -> 0 (see ``lookup``)."""
+    return replace_levels(df, table, cols, "woe", 0.0, null_level=MISSING_LEVEL)
 
 
 def bin_performance(ct: DataFrame, keys: Sequence[str] = ("source",)) -> DataFrame:

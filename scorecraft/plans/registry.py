@@ -1041,7 +1041,7 @@ def q_first_model(spark, sf_dir):
 def q_inference_table(spark, sf_dir):
     card = _card(spark, sf_dir)
     t = train(spark, sf_dir)
-    s = M.score(card.pipeline, M._prepare(t, card))
+    s = M.score(card.pipeline, t)
     return M.inference_table(spark, s, M.lr_stage(card), card.names)
 
 

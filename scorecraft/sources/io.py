@@ -131,19 +131,11 @@ def load_stage(spark: SparkSession, name: str, run: str, base: str | None = None
 
 
 def save_model(card, path: str) -> None:
-    """Fitted pipeline plus side tables (edges, bands, category maps)."""
+    """The fitted pipeline, binning included, and what reports read beside it."""
     card.pipeline.write().overwrite().save(f"{path}/pipeline")
-    s = SparkSession.getActiveSession()
-    s.createDataFrame([(f, [float(x) for x in e]) for f, e in card.edges.items()] or [("", [])],
-                      "feature string, edges array<double>").write.mode("overwrite").parquet(f"{path}/bin_edges")
-    s.createDataFrame([(json.dumps({"numeric": card.numeric, "categorical": card.categorical,
-                                    "names": card.names, "band_edges": card.band_edges,
-                                    "transforms": card.transforms, "binned": card.binned,
-                                    "low_card": card.low_card,
-                                    "groups": sorted(card.groups)}),)],
-                      "value string").write.mode("overwrite").text(f"{path}/meta")
-    for c, m in card.groups.items():
-        m.write.mode("overwrite").parquet(f"{path}/category_map/{c}")
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(json.dumps({"names": card.names, "band_edges": card.band_edges}),)],
+                          "value string").write.mode("overwrite").text(f"{path}/meta")
 
 
 def load_model(spark: SparkSession, path: str):
@@ -152,9 +144,4 @@ def load_model(spark: SparkSession, path: str):
 
     from ..operators.model import Scorecard
     meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
-    edges = {r["feature"]: list(r["edges"]) for r in spark.read.parquet(f"{path}/bin_edges").collect() if r["feature"]}
-    groups = {c: spark.read.parquet(f"{path}/category_map/{c}") for c in meta.get("groups", [])}
-    return Scorecard(meta["numeric"], meta["categorical"], edges, PipelineModel.load(f"{path}/pipeline"),
-                     meta["names"], meta["band_edges"], low_card=meta.get("low_card", {}), groups=groups,
-                     transforms=meta["transforms"],
-                     binned=meta["binned"])
+    return Scorecard(PipelineModel.load(f"{path}/pipeline"), meta["names"], meta["band_edges"])
