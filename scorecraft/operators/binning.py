@@ -190,19 +190,15 @@ def equal_width_edges(base: DataFrame, cur: DataFrame, cols: Sequence[str], k: i
     both = base.select(*cols).unionByName(cur.select(*cols))
     stats = both.agg(*[F.min(c).alias(f"{c}__lo") for c in cols],
                      *[F.max(c).alias(f"{c}__hi") for c in cols])
-    parts = []
+    rows = []
     for c in cols:
         lo = F.bround(F.col(f"{c}__lo"), 0)  # Python round(): half-to-even
         hi = F.bround(F.col(f"{c}__hi"), 0)
         step = F.bround((hi - lo) / k, 0)
-        parts.append(stats.select(
-            F.lit(c).alias("feature"),
-            F.when(step > 0, F.sequence(lo.cast("long"), (hi - 1).cast("long"), step.cast("long"))
-                   .cast("array<double>")).otherwise(F.array().cast("array<double>")).alias("edges")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        rows.append(F.struct(F.lit(c).alias("feature"), F.when(step > 0, F.sequence(
+            lo.cast("long"), (hi - 1).cast("long"), step.cast("long")).cast("array<double>"))
+            .otherwise(F.array().cast("array<double>")).alias("edges")))
+    return stats.select(F.inline(F.array(*rows)))
 
 
 def decile_edges(base: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

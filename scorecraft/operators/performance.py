@@ -131,15 +131,33 @@ def ks_table(df: DataFrame, score: str = "score", y: str = "y", bad: float = 1.0
 def accuracy_summary(df: DataFrame, score: str = "score", y: str = "y", pred: str = "pred",
                      sources: Sequence[str] = ("Test", "OOT", "PDV")) -> DataFrame:
     """Hard-label AUC and KS per source, 5 dp (long form: source, auc, ks)."""
-    d = df.where(F.col("source").isin(*sources))
-    a = auc_hard(confusion_matrix(d, y, pred, ["source"])).select("source", "auc")
-    k = ks(d, score, y, ["source"])
-    return a.join(k, "source").select("source", rnd("auc", 5).alias("auc"), rnd("ks", 5).alias("ks"))
+    base = df.where(F.col("source").isin(*sources)).select(
+        "source", F.col(score).alias("score"), F.lit(1).cast("long").alias("_n"), F.col(y).cast("long").alias("_t"),
+        *[((F.col(y).cast("int") == a) & (F.col(pred).cast("int") == p)).cast("long").alias(name)
+          for name, a, p in (("tn", 0, 0), ("fp", 0, 1), ("fn", 1, 0), ("tp", 1, 1))])
+    counts = ["tn", "fp", "fn", "tp"]
+    # one set of running totals carries the confusion counts along
+    rt = running_totals(base, ["source"], "score", ["_n", "_t", *counts])
+    per = rt.withColumn("ks", _ks()).groupBy("source").agg(F.max("ks").alias("ks"), *[F.max(f"tot_{c}").alias(c) for c in counts])
+    return auc_hard(per).select("source", rnd("auc", 5).alias("auc"), rnd("ks", 5).alias("ks"))
+
+
+def _ks():
+    """|cumulative target share - cumulative non-target share| of running totals."""
+    return F.abs(safe_div("cum__t", "tot__t") - safe_div(F.col("cum__n") - F.col("cum__t"), F.col("tot__n") - F.col("tot__t")))
 
 
 def role_comparison(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
-    """Per source the confusion matrix, AUC (4 dp) and accuracy in one row."""
+    """Per source the confusion matrix, AUC (4 dp), accuracy, and the classification report's
+    precision, recall, f1 (6 dp) and support of both classes, in one row."""
     cm = auc_hard(confusion_matrix(df, y, pred, ["source"]))
     n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
+    block = []
+    for label, hit, false, missed in (("0", "tn", "fn", "fp"), ("1", "tp", "fp", "fn")):
+        precision = F.coalesce(safe_div(hit, F.col(hit) + F.col(false)), F.lit(0.0))
+        recall = F.coalesce(safe_div(hit, F.col(hit) + F.col(missed)), F.lit(0.0))
+        f1 = F.coalesce(safe_div(2 * precision * recall, precision + recall), F.lit(0.0))
+        block += [rnd(precision, 6).alias(f"precision_{label}"), rnd(recall, 6).alias(f"recall_{label}"), rnd(f1, 6).alias(f"f1_{label}"),
+                  (F.col(hit) + F.col(missed)).alias(f"support_{label}")]
     return cm.select("source", "tn", "fp", "fn", "tp", rnd("auc", 4).alias("auc"),
-                     rnd(safe_div(F.col("tn") + F.col("tp"), n), 4).alias("accuracy"))
+                     rnd(safe_div(F.col("tn") + F.col("tp"), n), 4).alias("accuracy"), *block)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,22 +100,34 @@ def target_summary(df: DataFrame, target: str = "yTarget", raw: str | None = Non
                       (F.col("n_rows") <= small_rows).alias("small_sample"))
 
 
+# a prime modulus and a multiplier of full period for it (fixed values, published)
+_PRIME, _STEP = 2147483647, 48271
+
+
+def key_share(key: Column, seed: int) -> Column:
+    """A number from 0 to 9,999 that an integer key and the seed fix, in any SQL engine:
+    two steps of the multiplicative congruential generator."""
+    first = F.pmod(F.pmod(key.cast("long"), F.lit(_PRIME)) * F.lit(_STEP) + F.lit(seed), F.lit(_PRIME))
+    return F.pmod(F.pmod(first * F.lit(_STEP), F.lit(_PRIME)), F.lit(10_000))
+
+
+def _share(df: DataFrame, key: str | None, seed: int) -> Column:
+    if key is not None and isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.coalesce(key_share(F.col(key), seed), F.lit(0))
+    return F.pmod(F.xxhash64(*([key] if key else df.columns), F.lit(seed)), F.lit(10_000))
+
+
 def split_by_key(df: DataFrame, key: str, test_fraction: float = 0.25, seed: int = 144,
                  out: str = "source") -> DataFrame:
-    """Deterministic train/test split by a hash of a key (reproducible across runs
+    """Deterministic train/test split by a hash of a key (reproducible across runs, engines
     and partitionings, unlike ``randomSplit`` on recomputed input)."""
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000))
-    return df.withColumn(out, F.when(h < int(test_fraction * 10_000), "Test").otherwise("Train"))
-
-
-def random_split(df: DataFrame, test_fraction: float = 0.25, seed: int = 144):
-    """P9 (random): ``randomSplit`` as in the reference (not reproducible on recompute)."""
-    return df.randomSplit([1 - test_fraction, test_fraction], seed)
+    return df.withColumn(out, F.when(_share(df, key, seed) < int(test_fraction * 10_000), "Test").otherwise("Train"))
 
 
-def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int | None = 144) -> DataFrame:
-    """P10: Bernoulli row sample (the reference samples 10 % of each role)."""
-    return df.sample(fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 144, key: str | None = None) -> DataFrame:
+    """P10: about ``fraction`` of the rows (the reference samples 10 % of each role), chosen by a
+    hash of ``key``, or of the whole row: the same rows whatever the partitioning."""
+    return df.where(_share(df, key, seed) < int(fraction * 10_000))
 
 
 def split_by_dtype(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:

@@ -61,6 +61,7 @@ from ..operators import prep as P  # noqa: E402
 from ..operators import profile as A  # noqa: E402
 from ..operators import stability as D  # noqa: E402
 from ..functions.exprs import cut  # noqa: E402
+from ..session import stage_dir  # noqa: E402
 from ..sources.fixtures import BAD_VALUES, EXCLUDED, loans  # noqa: E402
 
 FEATS = NUMERIC + CATEGORICAL
@@ -129,16 +130,23 @@ PERF_SQL = (
 
 
 # ============================================================ P: preparation
-@register("read_dataset", S.with_() + "SELECT l_orderkey, l_linenumber, source, loan_status, yTarget, y, "
-          f"{S.r6('score')} AS score FROM r")
+@register("read_dataset", "SELECT 'Train' AS source, l_returnflag, l_linestatus, CAST(count(*) AS BIGINT) AS n, "
+          "CAST(count(l_tax) AS BIGINT) AS with_tax, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM lineitem GROUP BY ALL")
 def q_read_dataset(spark, sf_dir):
-    return roles(spark, sf_dir).select("l_orderkey", "l_linenumber", "source", "loan_status", "yTarget", "y",
-                                       rnd("score", 6).alias("score"))
+    """A role file as the flows read it."""
+    d = IO.read_dataset(spark, f"{sf_dir}/lineitem.parquet", "Train")
+    return d.groupBy("source", "l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("n"), F.count("l_tax").alias("with_tax"), F.sum("l_orderkey").alias("keys"))
 
 
 @register("load_roles", S.with_(RP) + "SELECT source, CAST(count(*) AS BIGINT) AS n FROM rp GROUP BY source")
 def q_load_roles(spark, sf_dir):
-    return roles(spark, sf_dir, pdv=True).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    """S3 then S2: the rows of every role written to a folder of their own and read as role files."""
+    d = roles(spark, sf_dir, pdv=True).select("source", *FEATS, "loan_status")
+    base = stage_dir(spark, f"role-files-{IO.new_run()}")
+    IO.write_cleansed(d, base)
+    back = IO.load_roles(spark, *[f"{base}/source={s}" for s in ("Train", "Test", "PDV", "OOT")], fmt="parquet")
+    return back.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("exclude_columns", S.with_() + "SELECT * EXCLUDE (l_orderkey, l_linenumber, l_shipdate, yTarget, y, score) FROM r")
@@ -161,7 +169,7 @@ def q_drop_all_null_columns(spark, sf_dir):
     return long.withColumn("dropped", F.col("column_name").isin(*P.all_null_columns(t, cols)))
 
 
-_DD = "source, l_linestatus, p_type, c_mktsegment, l_quantity"
+_DD = ", ".join(["source", *FEATS, "loan_status"])
 
 
 @register("drop_duplicate_rows", S.with_() + f"SELECT DISTINCT {_DD} FROM r")
@@ -201,15 +209,23 @@ def q_target_summary(spark, sf_dir):
     return P.target_summary(roles(spark, sf_dir), "yTarget", keys=["source"])
 
 
-@register("split_by_key")
+def share_sql(key: str, seed: int) -> str:
+    p = "2147483647"
+    return f"((((({key}) % {p} + {p}) % {p} * 48271 + {seed}) % {p}) * 48271 % {p} % 10000)"
+
+
+@register("split_by_key", S.with_() + f"SELECT CASE WHEN {share_sql('l_orderkey', 144)} < 2500 THEN 'Test' ELSE 'Train' END AS source, "
+          "CAST(count(*) AS BIGINT) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM loans GROUP BY 1")
 def q_split_by_key(spark, sf_dir):
     d = P.split_by_key(loans(spark, sf_dir), "l_orderkey", 0.25, 144)
-    return d.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return d.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"))
 
 
-@register("sample_rows")
+@register("sample_rows", S.with_() + "SELECT l_orderkey, l_linenumber, source, y FROM r "
+          f"WHERE {share_sql('l_orderkey * 8 + l_linenumber', 144)} < 1000")
 def q_sample_rows(spark, sf_dir):
-    return P.sample_rows(roles(spark, sf_dir), 0.1, 144).select("l_orderkey", "l_linenumber", "source", "y")
+    d = roles(spark, sf_dir).withColumn("row_key", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    return P.sample_rows(d, 0.1, 144, "row_key").select("l_orderkey", "l_linenumber", "source", "y")
 
 
 @register("select_features", S.with_() + f"SELECT {', '.join(FEATS)}, y FROM r WHERE source = 'Train'")
@@ -250,7 +266,7 @@ def q_drop_high_cardinality(spark, sf_dir):
     return A.distinct_profile(t, CATEGORICAL).select("feature", "nunique", F.col("feature").isin(*dropped).alias("dropped"))
 
 
-IMP = ["l_tax", "o_totalprice", "l_quantity"]
+IMP = NUMERIC
 
 
 def _impute_sql(fill: str) -> str:
@@ -288,11 +304,13 @@ def q_impute_drop(spark, sf_dir):
     return d.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("impute_categorical", S.with_() + "SELECT coalesce(o_orderpriority, 'missing') AS o_orderpriority, "
-          "CAST(count(*) AS BIGINT) AS n FROM r GROUP BY ALL")
+@register("impute_categorical", S.with_() + "SELECT source, feature, level, CAST(count(*) AS BIGINT) AS n FROM " + S.unpivot(
+    "(SELECT source, " + ", ".join(f"coalesce({c}, 'missing') AS {c}" for c in CATEGORICAL) + " FROM r)", CATEGORICAL, ["source"],
+    value="level") + " GROUP BY ALL")
 def q_impute_categorical(spark, sf_dir):
-    d = P.impute_categorical(roles(spark, sf_dir), ["o_orderpriority"])
-    return d.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    d = P.impute_categorical(roles(spark, sf_dir), CATEGORICAL)
+    return (d.select("source", *CATEGORICAL).unpivot("source", CATEGORICAL, "feature", "level")
+            .groupBy("source", "feature", "level").agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("fill_unbinned_numeric", S.with_() + "SELECT source, " + ", ".join(
@@ -420,16 +438,20 @@ def q_monotonic_edges(spark, sf_dir):
     return B.monotonic_edges(train(spark, sf_dir), NUMERIC)
 
 
+LOWC = NUMERIC + ["l_linenumber", "remainder"]
 _LC = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_distinct "
-    f"FROM {TRAIN}" for c in NUMERIC + ["l_linenumber"])
+    f"FROM (SELECT *, l_quantity % 4 AS remainder FROM r WHERE source = 'Train')" for c in LOWC)
 
 
 @register("low_cardinality_levels", S.with_(f"lc AS ({_LC})") +
-          "SELECT feature, n_distinct, n_distinct <= 5 AS low_cardinality FROM lc")
+          f"SELECT lc.feature, n_distinct <= 5 AS low_cardinality, CASE WHEN n_distinct <= 5 THEN n_distinct END AS n_distinct, level FROM lc LEFT JOIN "
+          f"(SELECT DISTINCT feature, level FROM {S.unpivot('(SELECT *, l_quantity % 4 AS remainder FROM r WHERE source = ' + chr(39) + 'Train' + chr(39) + ')', LOWC, [], value='level', cast='DOUBLE')} "
+          "WHERE level IS NOT NULL) lv ON lv.feature = lc.feature AND n_distinct <= 5")
 def q_low_cardinality_levels(spark, sf_dir):
-    lv = B.low_cardinality_levels(train(spark, sf_dir), NUMERIC + ["l_linenumber"], 5)
-    return lv.select("feature", "n_distinct", "low_cardinality")
+    lv = B.low_cardinality_levels(train(spark, sf_dir).withColumn("remainder", F.col("l_quantity") % 4), LOWC, 5)
+    return lv.select("feature", "low_cardinality", F.when(F.col("low_cardinality"), F.col("n_distinct")).alias("n_distinct"),
+                     F.explode_outer(F.when(F.col("low_cardinality"), F.col("levels"))).alias("level"))
 
 
 CUSTOM = {"l_quantity": [0.0, 10.0, 20.0, 30.0, 40.0, 50.0], "l_discount": [0.0, 0.02, 0.05, 0.1]}
@@ -445,7 +467,7 @@ def q_apply_custom_bins(spark, sf_dir):
     return A.contingency(b, list(CUSTOM), [], "y", ["source"]).select("source", "feature", "bin", "n")
 
 
-EW = ["l_quantity", "p_size"]
+EW = NUMERIC
 TEST = "(SELECT * FROM r WHERE source = 'Test')"
 _EW = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round_even(min({c}), 0) AS lo, round_even(max({c}), 0) AS hi FROM "
@@ -464,7 +486,7 @@ def q_equal_width_bins(spark, sf_dir):
     return _explode_edges(e)
 
 
-DEC = ["l_extendedprice", "l_discount", "o_totalprice", "disc_amt"]
+DEC = NUMERIC
 DEC_SQL = S.edges_cte("de", TRAIN, DEC, [i / 10 for i in range(1, 11)], distinct=False)
 
 
@@ -552,12 +574,23 @@ _WE = ("we AS (SELECT feature, level, n, n1, n - n1 AS n0, sum(n1) OVER (PARTITI
                    CATEGORICAL, ["y"], value="level") + " GROUP BY ALL))")
 
 
-@register("woe_encode", S.with_(_WE) +
+_LV = ("lv AS (SELECT feature, level, CAST(count(*) AS BIGINT) AS rows FROM " + S.unpivot(
+    "(SELECT " + ", ".join(f"coalesce({c}, 'missing') AS {c}" for c in CATEGORICAL) + " FROM r)", CATEGORICAL, [], value="level") + " GROUP BY ALL)")
+
+
+@register("woe_encode", S.with_(_WE, _LV) +
           "SELECT feature, level, round(CASE WHEN n > 1 THEN ln(((n1 + 1.0) / (tot1 + 2.0)) / ((n0 + 1.0) / (tot0 + 2.0))) "
-          "ELSE 0.0 END, 6) + 0.0 AS woe FROM we")
+          "ELSE 0.0 END, 6) + 0.0 AS woe, lv.rows AS n FROM we JOIN lv USING (feature, level) "
+          "UNION ALL SELECT feature, level, 0.0, rows FROM lv ANTI JOIN we USING (feature, level)")
 def q_woe_encode(spark, sf_dir):
-    t = W.woe_encoder_table(train(spark, sf_dir), CATEGORICAL, "y")
-    return t.select("feature", "level", rnd("woe", 6).alias("woe"))
+    """W4 fitted on the training rows and applied to every role: the code each level came out as, and its rows."""
+    d = roles(spark, sf_dir)
+    t = W.woe_encoder_table(d.where(F.col("source") == "Train"), CATEGORICAL, "y")
+    both = d.select(*[F.coalesce(F.col(c), F.lit("missing")).alias(f"level_{c}") for c in CATEGORICAL], *CATEGORICAL)
+    coded = W.woe_encode(both, t, CATEGORICAL)
+    return (coded.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"level_{c}").alias("level"), F.col(c).alias("woe"))
+                                            for c in CATEGORICAL]))).groupBy("feature", "level", "woe").agg(F.count("*").alias("n"))
+            .select("feature", "level", rnd("woe", 6).alias("woe"), "n"))
 
 
 @register("bin_performance", S.with_(*binned_scored_sql(), *PERF_SQL) + "SELECT * FROM perf")
@@ -696,28 +729,30 @@ def q_correlated_pairs(spark, sf_dir):
     return C.correlated_pairs(C.correlation_matrix(t, NUMERIC), W.feature_iv(train_ct(spark, sf_dir)), 0.5)
 
 
-VIF3 = ["l_quantity", "l_extendedprice", "l_discount"]
-_a, _b, _c = VIF3
+# inverse of the covariance matrix in SQL: one sweep per column, after which the matrix is minus its inverse
+_K = len(NUMERIC)
+_COV = "[" + ", ".join("[" + ", ".join(f"covar_samp({x}, {y})" for y in NUMERIC) + "]" for x in NUMERIC) + "]"
 VIF_SQL = (
-    f"mo AS (SELECT count(*) AS n, avg({_a}) AS m0, avg({_b}) AS m1, avg({_c}) AS m2, "
-    f"covar_samp({_a}, {_a}) AS a, covar_samp({_a}, {_b}) AS b, covar_samp({_a}, {_c}) AS c, "
-    f"covar_samp({_b}, {_b}) AS d, covar_samp({_b}, {_c}) AS e, covar_samp({_c}, {_c}) AS f FROM {TRAIN})",
-    "mi AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM mo)",
-    "iv3 AS (SELECT *, (d * f - e * e) / det AS i00, (a * f - c * c) / det AS i11, (a * d - b * b) / det AS i22, "
-    "(c * e - b * f) / det AS i01, (b * e - c * d) / det AS i02, (b * c - a * e) / det AS i12 FROM mi)",
-    f"vf AS (SELECT '{_a}' AS feature, i00 * a AS vif FROM iv3 UNION ALL SELECT '{_b}', i11 * d FROM iv3 UNION ALL "
-    f"SELECT '{_c}', i22 * f FROM iv3 UNION ALL SELECT 'const', 1.0 + n / (n - 1.0) * (m0 * m0 * i00 + m1 * m1 * i11 "
-    "+ m2 * m2 * i22 + 2 * (m0 * m1 * i01 + m0 * m2 * i02 + m1 * m2 * i12)) FROM iv3)")
+    f"whole AS (SELECT {', '.join(f'{c}::DOUBLE AS {c}' for c in NUMERIC)} FROM {TRAIN} WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in NUMERIC) + ")",
+    f"mo AS (SELECT count(*) AS n, [{', '.join(f'avg({c})' for c in NUMERIC)}] AS m, {_COV} AS s FROM whole)",
+    "sweep(p, a) AS (SELECT 1, s FROM mo UNION ALL SELECT p + 1, "
+    f"list_transform(range(1, {_K + 1}), lambda i: list_transform(range(1, {_K + 1}), lambda j: "
+    "CASE WHEN i = p AND j = p THEN -1.0 / a[p][p] WHEN i = p OR j = p THEN a[i][j] / a[p][p] ELSE a[i][j] - a[i][p] * a[p][j] / a[p][p] END)) "
+    f"FROM sweep WHERE p <= {_K})",
+    f"inv AS (SELECT a FROM sweep WHERE p = {_K + 1})",
+    "vf AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, -a[{i}][{i}] * s[{i}][{i}] AS vif FROM inv, mo" for i, c in enumerate(NUMERIC, 1))
+    + " UNION ALL SELECT 'const', 1.0 + n / (n - 1.0) * list_sum(list_transform("
+    f"range(1, {_K + 1}), lambda i: list_sum(list_transform(range(1, {_K + 1}), lambda j: -m[i] * a[i][j] * m[j])))) FROM inv, mo)")
 
 
 @register("vif", S.with_(*VIF_SQL) + "SELECT feature, round(vif, 6) + 0.0 AS vif FROM vf")
 def q_vif(spark, sf_dir):
-    return C.vif(train(spark, sf_dir), VIF3).select("feature", rnd("vif", 6).alias("vif"))
+    return C.vif(train(spark, sf_dir), NUMERIC).select("feature", rnd("vif", 6).alias("vif"))
 
 
 @register("vif_filter", S.with_(*VIF_SQL) + "SELECT feature, round(vif, 6) + 0.0 AS vif, vif >= 10 AS high_vif FROM vf")
 def q_vif_filter(spark, sf_dir):
-    v = C.vif_filter(C.vif(train(spark, sf_dir), VIF3), 10.0)
+    v = C.vif_filter(C.vif(train(spark, sf_dir), NUMERIC), 10.0)
     return v.select("feature", rnd("vif", 6).alias("vif"), "high_vif")
 
 
@@ -904,13 +939,13 @@ def q_ks(spark, sf_dir):
 
 
 @register("ks_curve", S.with_(RP, SC, *KS_SQL) +
-          "SELECT round(score, 6) + 0.0 AS score, CAST(cn AS BIGINT) AS cum_population, CAST(ct AS BIGINT) AS cum_target, "
+          "SELECT source, round(score, 6) + 0.0 AS score, CAST(cn AS BIGINT) AS cum_population, CAST(ct AS BIGINT) AS cum_target, "
           "CAST(cn - ct AS BIGINT) AS cum_non_target, round(cn / tn, 6) + 0.0 AS cum_population_pct, "
           "round(cum_target_pct, 6) + 0.0 AS cum_target_pct, round(cum_non_target_pct, 6) + 0.0 AS cum_non_target_pct, "
-          "round(ks, 6) + 0.0 AS ks FROM k3 WHERE source = 'Train'")
+          "round(ks, 6) + 0.0 AS ks FROM k3")
 def q_ks_curve(spark, sf_dir):
-    c = E.ks_curve(train(spark, sf_dir), "score", "y")
-    return c.select(rnd("score", 6).alias("score"), "cum_population", "cum_target", "cum_non_target",
+    c = E.ks_curve(scored(spark, sf_dir), "score", "y", ["source"])
+    return c.select("source", rnd("score", 6).alias("score"), "cum_population", "cum_target", "cum_non_target",
                     *[rnd(x, 6).alias(x) for x in ("cum_population_pct", "cum_target_pct", "cum_non_target_pct", "ks")])
 
 
@@ -934,10 +969,10 @@ def q_ks_table(spark, sf_dir):
 
 
 @register("gain_lift", S.with_(*BANDS_SQL, *BAND_TABLE_SQL) +
-          "SELECT risk_band, Count, Goods, Bads, Cum_Bads, Cum_Bads_pct, Gain, lift_per_band, Lift FROM bt WHERE source = 'Test'")
+          "SELECT source, risk_band, Count, Goods, Bads, Cum_Bads, Cum_Bads_pct, Gain, lift_per_band, Lift FROM bt")
 def q_gain_lift(spark, sf_dir):
-    return band_frame(spark, sf_dir).where(F.col("source") == "Test").select(
-        "risk_band", "Count", "Goods", "Bads", "Cum_Bads", "Cum_Bads_pct", "Gain", "lift_per_band", "Lift")
+    return band_frame(spark, sf_dir).select(
+        "source", "risk_band", "Count", "Goods", "Bads", "Cum_Bads", "Cum_Bads_pct", "Gain", "lift_per_band", "Lift")
 
 
 @register("accuracy_summary", S.with_(RP, SC, *CM_SQL, *KS_SQL) +
@@ -948,9 +983,12 @@ def q_accuracy_summary(spark, sf_dir):
     return E.accuracy_summary(scored(spark, sf_dir), "score", "y", "pred")
 
 
-@register("role_comparison", S.with_(RP, SC, *CM_SQL) +
+@register("role_comparison", S.with_(RP, SC, *CM_SQL, _cr_sql()) +
           "SELECT source, tn, fp, fn, tp, round(auc, 4) + 0.0 AS auc, "
-          "round(CASE WHEN tn + fp + fn + tp <> 0 THEN (tn + tp) / (tn + fp + fn + tp) END, 4) + 0.0 AS accuracy FROM cma")
+          "round(CASE WHEN tn + fp + fn + tp <> 0 THEN (tn + tp) / (tn + fp + fn + tp) END, 4) + 0.0 AS accuracy, "
+          + ", ".join(f"max(round(p.precision, 6) + 0.0) FILTER (WHERE label = '{c}') AS precision_{c}, max(round(p.recall, 6) + 0.0) FILTER (WHERE label = '{c}') AS recall_{c}, "
+                      f"max(round(p.f1, 6) + 0.0) FILTER (WHERE label = '{c}') AS f1_{c}, CAST(max(p.support) FILTER (WHERE label = '{c}') AS BIGINT) AS support_{c}" for c in "01")
+          + " FROM cma JOIN per p USING (source) GROUP BY ALL")
 def q_role_comparison(spark, sf_dir):
     return E.role_comparison(scored(spark, sf_dir), "y", "pred")
 
@@ -959,7 +997,7 @@ def q_role_comparison(spark, sf_dir):
 from ..operators import distcheck as DC  # noqa: E402
 from ..operators import model as M  # noqa: E402
 
-RS = VIF3 + ["l_tax"]
+RS = NUMERIC
 
 
 @register("robust_scale", S.with_(
@@ -993,16 +1031,22 @@ def q_ordinal_encode(spark, sf_dir):
     return n.join(table, ["feature", "code"]).select("feature", "level", "code", "n")
 
 
-MNUM = ["l_quantity", "l_discount", "l_tax", "p_size"]
-MCAT = ["p_type", "l_linestatus", "c_mktsegment"]
+MNUM, MCAT = NUMERIC, CATEGORICAL
+
+
+_SLOTS = " UNION ALL ".join(f"SELECT {i} AS place, '{c}' AS feature, coalesce({c}, 'missing') AS level, source FROM r" for i, c in enumerate(CATEGORICAL))
 
 
-@register("one_hot")
+@register("one_hot", S.with_(f"lv AS ({_SLOTS})", "slots AS (SELECT feature, level, row_number() OVER (ORDER BY place, level) - 1 AS slot "
+          "FROM (SELECT DISTINCT place, feature, level FROM lv WHERE source = 'Train'))") +
+          "SELECT CAST(slot AS INTEGER) AS slot, feature || '_' || level AS name, CAST(count(*) AS BIGINT) AS n FROM slots JOIN lv USING (feature, level) GROUP BY ALL")
 def q_one_hot(spark, sf_dir):
-    t = P.impute_categorical(train(spark, sf_dir), MCAT)
-    pm = Pipeline(stages=M.one_hot_stages(MCAT, "features")).fit(t)
-    names = M.one_hot_names(pm, MCAT)
-    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "slot int, name string")
+    """M4 fitted on the training rows; the slots and how many rows of all roles have a 1 in each."""
+    d = P.impute_categorical(roles(spark, sf_dir), MCAT)
+    pm = Pipeline(stages=M.one_hot_stages(MCAT, "features")).fit(d.where(F.col("source") == "Train"))
+    sums = pm.transform(d).select(Summarizer.sum(F.col("features")).alias("s")).select(F.posexplode(vector_to_array("s")).alias("slot", "n"))
+    names = spark.createDataFrame(list(enumerate(M.one_hot_names(pm, MCAT))), "slot int, name string")
+    return sums.join(names, "slot").select("slot", "name", F.col("n").cast("long").alias("n"))
 
 
 def _card(spark, sf_dir, **kw):
@@ -1113,7 +1157,7 @@ def _dc_q(method):
     def q(spark, sf_dir):
         d = roles(spark, sf_dir)
         return DC.distribution_check(d.where(F.col("source") == "Train"), d.where(F.col("source") == "OOT"),
-                                     MNUM, MCAT, method)
+                                     NUMERIC, CATEGORICAL, method, svd_k=len(FEATS))
     return q
 
 
@@ -1123,6 +1167,8 @@ register("distribution_check_qda")(_dc_q("QuadraticDiscriminantAnalysis"))
 register("distribution_check_knn")(_dc_q("KNeighborsClassifier"))
 
 from pyspark.ml import Pipeline  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+from pyspark.ml.stat import Summarizer  # noqa: E402
 
 
 # ============================================================ S / F: sources, sinks, flows

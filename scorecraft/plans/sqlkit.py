@@ -17,7 +17,7 @@ BASE = f"loans AS ({LOANS_SQL}),\nr AS ({ROLES_SQL})"
 
 
 def with_(*ctes: str) -> str:
-    return "WITH " + ",\n".join([BASE, *ctes]) + "\n"
+    return "WITH RECURSIVE " + ",\n".join([BASE, *ctes]) + "\n"
 
 
 def r6(x: str, dp: int = 6) -> str:
