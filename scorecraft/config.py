@@ -57,6 +57,12 @@ class ScorecardConfig:
     category_groups: dict = field(default_factory=dict)
     transforms: dict = field(default_factory=dict)
     band_cuts: tuple | None = None
+    binned: bool = True                        # False: numeric columns enter the model as they are
+    binning_method: str = "quantile"           # quantile | monotonic
+    penalise_constant: bool = False            # True: the L1 norm holds the constant, as in the reference
+    selection_encoder: str = "woe"             # woe | ordinal
+    split_key: str | None = None               # key of the train / test split where no test rows are given
+    distribution_check: str | None = None      # a method of distcheck, to compare Train with every other role
 
     def with_(self, **kw) -> "ScorecardConfig":
         return replace(self, **kw)

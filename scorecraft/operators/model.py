@@ -245,13 +245,14 @@ def lr_stage(card: Scorecard):
 # ------------------------------------------------------------------ M5-M8, M18
 
 
-def selection_frame(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], y: str = "y"):
-    """M8 preprocessing: numeric median-impute + robust scale, categorical WOE (W4),
-    assembled into one cached vector column ``features`` (one slot per feature)."""
+def selection_frame(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], y: str = "y", encoder: str = "woe"):
+    """M8 preprocessing: numeric median-impute + robust scale, categorical WOE (W4) or
+    ordinal codes (M3), assembled into one cached vector column ``features`` (one slot per feature)."""
     from .woe import woe_encode, woe_encoder_table
-    sc = robust_scaler(train, numeric)
-    d = robust_scale(train, sc)
-    if categorical:
+    d = robust_scale(train, robust_scaler(train, numeric))
+    if categorical and encoder == "ordinal":
+        d = ordinal_encode(d, ordinal_table(train, categorical), categorical)
+    elif categorical:
         d = woe_encode(d, woe_encoder_table(train, categorical, y), categorical)
     feats = [*numeric, *categorical]
     v = VectorAssembler(inputCols=feats, outputCol="features").transform(d).select("features", y)

@@ -112,7 +112,7 @@ def key_share(key: Column, seed: int) -> Column:
 
 
 def _share(df: DataFrame, key: str | None, seed: int) -> Column:
-    if key is not None and isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+    if key and isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return F.coalesce(key_share(F.col(key), seed), F.lit(0))
     return F.pmod(F.xxhash64(*([key] if key else df.columns), F.lit(seed)), F.lit(10_000))
 

@@ -39,13 +39,14 @@ def feature_iv(ct: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def iv_report(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], y: str = "y",
-              k: int = 5, keys: Sequence[str] = (), method: str = "exact") -> tuple[DataFrame, dict]:
+              k: int = 5, keys: Sequence[str] = (), method: str = "exact",
+              accuracy: int = 10000) -> tuple[DataFrame, dict]:
     """IV per feature - numeric through k quantile bins, categorical by level.
 
     Returns (iv table (keys..., feature, iv) sorted by iv desc, fitted edges).
     Features with no non-NULL value get IV 0.
     """
-    edges = binning.edges_dict(binning.quantile_edges(df, numeric, k, method=method)) if numeric else {}
+    edges = binning.edges_dict(binning.quantile_edges(df, numeric, k, method=method, accuracy=accuracy)) if numeric else {}
     binned = {f: binning.cut(F.col(f), edges.get(f, []), True) for f in numeric}
     ct = contingency(df, binned, categorical, y, keys)
     iv = feature_iv(ct, keys)

@@ -125,3 +125,57 @@ def test_fold_accuracies_equal_single_fits(loans):
     got = M.cv_accuracies(w, [[0, 2], [1]], sizes)
     v.unpersist()
     assert got[0] == pytest.approx(np.mean(want), abs=0.003) and got[1] < got[0]
+
+
+STAGED = CFG.with_(binning_method="monotonic", max_bins=6, distribution_check="GaussianNB", selection_encoder="ordinal")
+
+
+def test_stages_in_sessions_of_their_own(spark, loans, tmp_path):
+    whole = FL.execute(loans, STAGED, select=True)
+    base = str(tmp_path / "flow")
+    after = None
+    for name in ("prepare", "reduce", "select", "build"):
+        session = spark.newSession()  # no state but what is written
+        df = session.createDataFrame(loans.toPandas()) if name == "prepare" else None
+        FL.run_stage(session, name, base, STAGED, after, df)
+        after = name
+    got = FL.load_state(spark.newSession(), f"{base}/build")
+    assert (got.numeric, got.categorical) == (whole.numeric, whole.categorical)
+    assert set(got.reports) == set(whole.reports)
+    for name in ("accuracy", "role_comparison", "band_psi", "csi_summary", "iv", "target", "bin_info"):
+        rows = [sorted(str(r.asDict()) for r in st.reports[name].select(*sorted(st.reports[name].columns)).collect()) for st in (got, whole)]
+        assert rows[0] == rows[1], name
+    assert got.scored.count() == whole.scored.count()
+    again = M.apply_scorecard(got.data, got.card)
+    assert again.where("p IS NULL").count() == 0
+    before = FL.run_stage(spark, "build", base, STAGED, "select")  # committed: left as it is
+    assert before == f"{base}/build"
+    with pytest.raises(ValueError, match="already"):
+        FL.save_state(got, f"{base}/build")
+    with pytest.raises(ValueError, match="no whole state"):
+        FL.load_state(spark, f"{base}/refine")
+
+
+def test_training_rows_are_split_where_no_test_is_given(loans):
+    rows = loans.where("source = 'Train'").withColumn("nothing", F.lit(None).cast("double"))
+    st = FL.prepare_data(rows, CFG.with_(test_fraction=0.3))
+    n = {r["source"]: r["count"] for r in st.data.groupBy("source").count().collect()}
+    assert set(n) == {"Train", "Test"} and 0.2 < n["Test"] / (n["Train"] + n["Test"]) < 0.4
+    assert "nothing" not in st.data.columns and st.reports["target"].count() == 4
+
+
+def test_columns_of_role_files(spark, loans, tmp_path):
+    for name, df in (("a", loans), ("b", loans.drop("z")), ("c", loans)):
+        df.drop("source").write.parquet(str(tmp_path / f"{name}.parquet"))
+    a, b, c = (str(tmp_path / f"{x}.parquet") for x in "abc")
+    with pytest.raises(ValueError, match="differ"):
+        FL.load_inputs(spark, a, b)
+    with pytest.warns(UserWarning, match="OOT"):
+        df = FL.load_inputs(spark, a, c, oot=b)
+    assert df.groupBy("source").count().count() == 3 and df.where("source = 'OOT' AND z IS NOT NULL").count() == 0
+
+
+def test_refined_model_without_bins(loans):
+    st = FL.execute(loans, CFG.with_(binned=False, penalise_constant=True, transforms={"z": "sqrt"}), select=False, refine=True)
+    assert not st.card.edges and {"x", "z"} <= set(st.card.names)
+    assert st.reports["role_comparison"].count() == 4 and st.reports["role_comparison"].where("accuracy < 0.6").count() == 0
