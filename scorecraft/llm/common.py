@@ -122,17 +122,30 @@ def bounded_batches(batches: Iterator[pa.RecordBatch], column: str, most: int =
             yield batch.slice(start)
 
 
-def with_keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_id`` and ``_th`` as ``keyed`` makes them, beside its own columns."""
-    return docs.withColumns({"_id": id_or_lowest(), "_th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+def carried(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named c0, c1, ... by position, so that no name of theirs can
+    clash with one of ours, beside ``_id`` and ``_th`` as ``keyed`` makes them."""
+    named = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*named.values())
+    return rows.withColumns({"_id": id_or_lowest(named["doc_id"]),
+                             "_th": F.xxhash64(F.coalesce(F.col(named["text"]).cast("string"), F.lit("")))})
 
 
-def arrow_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema, most: int = 2 << 20) -> DataFrame:
+def one_of_equals(rows: DataFrame) -> DataFrame:
+    """One row of ``carried`` for each (id, text): of rows that differ in other columns the one
+    of the least hash, so that reruns agree."""
+    own = [c for c in rows.columns if c not in ("_id", "_th")]
+    return (rows.groupBy("_id", "_th").agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("r"))
+            .select("r.*", "_id", "_th"))
+
+
+def arrow_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema, most: int = 2 << 20,
+               text: str = "text") -> DataFrame:
     """``mapInArrow`` of a function of one batch that keeps whole rows; ``schema`` is
     Spark's. A batch holds at most ``most`` bytes of ``text``, or one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for b in bounded_batches(batches, "text", most):
+        for b in bounded_batches(batches, text, most):
             if b.num_rows and (out := fn(b)).num_rows:
                 yield out
 

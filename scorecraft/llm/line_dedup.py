@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorecraft.llm.common import (ASCII_SPACE, arrow_map, arrow_rows, arrow_stream, keyed, original_id, partitions,
-                                    set_column, with_keys)
+                                    carried, set_column)
 
 LINES = "h1 long, h2 long, nid long, _th long, pos int"
 EDGES = "pid int, h1 long[], h2 long[], first_id long[], last_id long[], n_docs long[]"
@@ -194,21 +194,23 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, text: s
 
 
 def cleaned(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """``docs`` with the repeated lines out of ``text`` and ``n_chars`` to match, all other columns as they were."""
-    joined = with_keys(docs).join(keep_bitmaps(keyed(docs), min_chars, min_docs), ["_id", "_th"], "left")
-    columns = docs.columns
+    """``docs`` with the repeated lines out of ``text`` (and ``n_chars``, where there is one, to
+    match), all other columns, whatever their names, as they were."""
+    rows = carried(docs)
+    own = [c for c in rows.columns if c not in ("_id", "_th")]
+    text = own[docs.columns.index("text")]
+    chars = own[docs.columns.index("n_chars")] if "n_chars" in docs.columns else None
+    joined = rows.join(keep_bitmaps(keyed(docs), min_chars, min_docs), ["_id", "_th"], "left").select(*own, "bitmap")
 
     def cut(b: pa.RecordBatch) -> pa.RecordBatch:
-        texts, sizes = [], []
-        for t, n, bits in zip(b.column("text").to_pylist(), b.column("n_chars").to_pylist(), b.column("bitmap").to_pylist()):
-            if bits is not None:
-                t = b"\n".join(apply_bitmap(t.encode(), bits)[0]).decode()
-                n = len(t)
-            texts.append(t)
-            sizes.append(n)
-        return set_column(set_column(b, "text", texts), "n_chars", sizes).select(columns)
-
-    return arrow_rows(joined.select(*columns, "bitmap"), cut, docs.schema)
+        bitmaps, texts = b.column("bitmap").to_pylist(), b.column(text).to_pylist()
+        new = [t if bits is None else b"\n".join(apply_bitmap((t or "").encode(), bits)[0]).decode() for t, bits in zip(texts, bitmaps)]
+        b = set_column(b, text, new)
+        if chars:
+            b = set_column(b, chars, [n if bits is None else len(t) for t, n, bits in zip(new, b.column(chars).to_pylist(), bitmaps)])
+        return b.select(own)
+
+    return arrow_rows(joined, cut, rows.select(*own).schema, text=text).toDF(*docs.columns)
 
 
 def digest(deduped: DataFrame) -> DataFrame:

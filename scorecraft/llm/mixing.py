@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorecraft.llm.common import arrow_rows, original_id, staged, with_keys
+from scorecraft.llm.common import arrow_rows, original_id, staged, carried, one_of_equals, set_column
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -194,26 +194,30 @@ def words_between(text: str, a: int, b: int) -> str:
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the rows of ``docs``, all columns, as often as they are taken;
-    a document at the end of a run of blocks is cut to the words taken. Rows that
-    repeat both id and text count once."""
+    """The mix itself: the rows of ``docs``, all columns, whatever their names, as often as
+    they are taken; a document at the end of a run of blocks is cut to the words taken
+    (and its ``n_chars``, where there is one, to match). Rows that repeat both id and
+    text count once; ``one_of_equals`` says which stays."""
     plan = mix_plan(sized(docs).dropDuplicates(["_id", "_th"]), **options).where("taken > 0")
-    rows = with_keys(docs).dropDuplicates(["_id", "_th"]).join(plan.select("_id", "_th", "times", "a1", "b1", "a2", "b2"), ["_id", "_th"])
-    columns = docs.columns
-    text, n_chars = columns.index("text"), columns.index("n_chars")
+    rows = carried(docs)
+    own = [c for c in rows.columns if c not in ("_id", "_th")]
+    text = own[docs.columns.index("text")]
+    chars = own[docs.columns.index("n_chars")] if "n_chars" in docs.columns else None
+    joined = one_of_equals(rows).join(plan.select("_id", "_th", "times", "a1", "b1", "a2", "b2"), ["_id", "_th"])
 
     def take(batch):
         import pyarrow as pa
 
-        at, texts, sizes = [], [], []
-        cols = [batch.column(c).to_pylist() for c in ("text", "n_chars", "times", "a1", "b1", "a2", "b2")]
-        for i, (t, n, times, a1, b1, a2, b2) in enumerate(zip(*cols)):
+        at, texts, whole = [], [], []
+        cols = [batch.column(c).to_pylist() for c in (text, "times", "a1", "b1", "a2", "b2")]
+        for i, (t, times, a1, b1, a2, b2) in enumerate(zip(*cols)):
             parts = [t] * times + [words_between(t, a, b) for a, b in ((a2, b2), (a1, b1)) if a < b]
             at += [i] * len(parts)
             texts += parts
-            sizes += [n if p is t else len(p) for p in parts]
-        out = batch.select(columns).take(pa.array(at, pa.int64()))
-        out = out.set_column(text, "text", pa.array(texts, pa.string()))
-        return out.set_column(n_chars, "n_chars", pa.array(sizes, pa.int64()))
+            whole += [p is t for p in parts]
+        out = set_column(batch.select(own).take(pa.array(at, pa.int64())), text, texts)
+        if chars:
+            out = set_column(out, chars, [n if same else len(t) for n, same, t in zip(out.column(chars).to_pylist(), whole, texts)])
+        return out
 
-    return arrow_rows(rows, take, docs.schema)
+    return arrow_rows(joined, take, rows.select(*own).schema, text=text).toDF(*docs.columns)
