@@ -243,28 +243,29 @@ def _rank_hits(df: DataFrame, cols: Sequence[str], keys: Sequence[str], probs: S
     counts = long.groupBy(*keys, "f", "cell", "v").agg(F.count(F.lit(1)).alias("c"))
     # a group's window holds its brackets' values, about most x probs, and no others
     up_to = Window.partitionBy(*keys, "f").orderBy("cell", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.sum("c").over(Window.partitionBy(*keys, "f")) - 1
-    ranked = counts.select(*keys, "f", "v", "c", F.sum("c").over(up_to).alias("end"), last.alias("last"))
-    start = F.col("end") - F.col("c")
-    targets, any_hit = [], F.lit(False)
-    for i, p in enumerate(probs):
-        at = F.lit(p) * F.col("last")
-        low = F.floor(at)
-        high = F.least(low + 1, F.col("last"))
-        hit = ((low >= start) & (low < F.col("end"))) | ((high >= start) & (high < F.col("end")))
-        any_hit = any_hit | hit
-        targets.append(F.struct(F.lit(i).alias("i"), (at - low).alias("frac"), hit.alias("hit")))
-    hits = (ranked.where(any_hit).select(*keys, "f", "v", F.inline(F.filter(F.array(*targets), lambda t: t["hit"]))).collect())
+    held = counts.select(*keys, "f", (F.sum("c").over(up_to) * 2).alias("pos"), F.struct("v").alias("w"), *[
+        F.lit(None).cast(t).alias(c) for c, t in (("i", "int"), ("side", "int"), ("frac", "double"))])
+    # the wanted ranks stand between the rows, each before the value that ends behind it, however many probs there are
+    wanted = []
+    for g, per in found.items():
+        for c, (n, _) in per.items():
+            for i, p in enumerate(probs):
+                low = math.floor(p * (n - 1))
+                wanted += [(*g, cols.index(c), 2 * r + 1, i, side, p * (n - 1) - low) for side, r in enumerate((low, min(low + 1, n - 1)))]
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    ranks = df.sparkSession.createDataFrame(wanted, ", ".join([*[f"{x} {types[x]}" for x in keys], "f int, pos long, i int, side int, frac double"]))
+    rows = held.unionByName(ranks.withColumn("w", F.lit(None).cast("struct<v:double>")))
+    behind = Window.partitionBy(*keys, "f").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hits = (rows.withColumn("w", F.last("w", ignorenulls=True).over(behind)).where(F.col("i").isNotNull())
+            .select(*keys, "f", F.col("w.v").alias("v"), "i", "side", "frac").collect())
     if any(h["v"] is None for h in hits):  # a rank outside its bracket
         return _rank_hits(df, cols, keys, probs, most, k, min(4 * error, 1.0))
     return hits
 
 
 def _interpolated(hits, keys: Sequence[str], cols: Sequence[str], probs: int) -> list[tuple]:
-    """At most two values per group, column and prob -> the value between them."""
+    """Two values per group, column and prob -> the value between them."""
     ends: dict = {}
     for h in hits:
-        per = ends.setdefault((*[h[x] for x in keys], cols[h["f"]]), {})
-        low, high, _ = per.get(h["i"], (h["v"], h["v"], 0.0))
-        per[h["i"]] = (min(low, h["v"]), max(high, h["v"]), h["frac"])
-    return [(*g, [low + (high - low) * frac for low, high, frac in (per[i] for i in range(probs))]) for g, per in ends.items()]
+        ends.setdefault((*[h[x] for x in keys], cols[h["f"]]), {}).setdefault(h["i"], {})[h["side"]] = (h["v"], h["frac"])
+    return [(*g, [per[i][0][0] + (per[i][1][0] - per[i][0][0]) * per[i][0][1] for i in range(probs)]) for g, per in ends.items()]
