@@ -115,8 +115,8 @@ def vif(df: DataFrame, cols: Sequence[str], with_const: bool = True) -> DataFram
     """Variance inflation factors, sorted desc.
 
     VIF_i = [R^-1]_ii (R = correlation matrix); the constant's
-    VIF = n [(X'X)^-1]_00 = 1 + n/(n-1) m' S^-1 m with S the sample
-    covariance and m the means.
+    VIF = n [(X'X)^-1]_00 = 1 + n/(n-1) z' R^-1 z with z the means over the
+    standard deviations.
     """
     cols = list(cols)
     n, m, cov = complete_moments(df, cols)
@@ -125,7 +125,8 @@ def vif(df: DataFrame, cols: Sequence[str], with_const: bool = True) -> DataFram
     inv = np.linalg.pinv(corr)
     rows = [(c, float(inv[i, i])) for i, c in enumerate(cols)]
     if with_const:
-        rows.append(("const", float(1.0 + n / (n - 1) * m @ np.linalg.pinv(cov) @ m)))
+        z = m / sd  # by R, as columns of very different sizes would cost S^-1 its digits
+        rows.append(("const", float(1.0 + n / (n - 1) * z @ inv @ z)))
     out = df.sparkSession.createDataFrame(rows, "feature string, vif double")
     return out.orderBy(F.desc("vif"))
 
