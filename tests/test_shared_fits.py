@@ -81,3 +81,20 @@ def test_fits_read_a_stage_table_and_not_the_joins(spark, tmp_path):
     staged = R.staged_train(spark, str(tmp_path))
     assert "Join" not in staged._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(staged.collect()) == sorted(R.train(spark, str(tmp_path)).collect())
+
+
+def test_standard_errors_do_not_hang_on_the_order_of_rows(spark):
+    rng = np.random.default_rng(3)
+    hot = np.column_stack([np.eye(3)[rng.integers(0, 3, 400)], np.eye(2)[rng.integers(0, 2, 400)]])  # levels add up to the constant
+    y = (rng.random(400) < 0.3 + 0.4 * hot[:, 0]).astype(float)
+    d = spark.createDataFrame([([float(a) for a in r], float(t), float(p)) for r, t, p in zip(hot, y, 0.2 + 0.3 * hot[:, 0])],
+                              "a array<double>, y double, p double").select(array_to_vector("a").alias("features"), "y", "p")
+
+    class Fitted:
+        intercept, coefficients = 0.1, type("C", (), {"toArray": staticmethod(lambda: np.array([0.5, -0.2, 0.3, 0.4, -0.1]))})
+
+    found = [[r["std_err"] for r in M.inference_table(spark, x, Fitted, list("abcde")).collect()][:6] for x in (d.coalesce(1), d.repartition(7))]
+    x = np.column_stack([np.ones(400), hot])
+    w = (0.2 + 0.3 * hot[:, 0]) * (0.8 - 0.3 * hot[:, 0])
+    want = np.sqrt(np.diag(np.linalg.pinv((x * w[:, None]).T @ x, rcond=1e-10)))
+    assert np.allclose(found, [want, want], rtol=1e-6)
