@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +158,21 @@ def test_encoder_equals_the_tokenizer():
     assert enc.encode(texts) == want
 
 
+def test_token_ids_are_gathered_from_distinct_pieces():
+    enc = packing.Encoder(packing.tokenizer_path())
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    texts = [f"{x}{y}{m} a{x.lower()}{m}{m}" for x in letters for y in ("", "B", "z") for m in ("", ".", ":")] + ["", "A" * 5000 + ".\n a"]
+    sent = []
+    plain = enc._plain
+    enc._plain = lambda words: plain(sent.append(words) or words)
+    ids, edge = enc.token_ids(pa.array(texts * 3))
+    want = [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)] * 3
+    assert [ids[a:b].tolist() for a, b in zip(edge, edge[1:])] == want
+    assert len(sent) == 1 and len(set(sent[0])) == len(sent[0])  # once each, whatever case, mark or text it has
+    ids, edge = enc.token_ids(pa.array([], pa.string()))
+    assert len(ids) == 0 and edge.tolist() == [0]
+
+
 @pytest.mark.parametrize("lengths", [[1] * 50, [4096] * 3, list(range(1, 400)), [2049] * 7 + [2047] * 7, [1000, 1000, 1000, 1096] * 5, [1500] * 9])
 def test_plan_places_each_piece_once(lengths):
     runs = packing.plan(Counter(lengths))
