@@ -155,6 +155,27 @@ def test_neighbour_index_recall(spark):
     assert right >= 0.9 * len(q)
 
 
+def test_neighbour_cells_stay_small_where_rows_are_dense(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    p = np.r_[rng.normal(0, 1, (4000, 3)), rng.normal(0, 1000, (600, 3))]  # far rows draw most first centres
+    t = (p[:, 0] > 0.2).astype(int)
+    q = rng.normal(0, 1, (300, 3))
+    frame = lambda x, o: spark.createDataFrame([(r.tolist(), float(v)) for r, v in zip(x, o)], "x array<double>, origin double")
+    kept, save = {}, DC.save_stage
+
+    def keep(rows, name):
+        kept[name] = save(rows, name)
+        return kept[name]
+
+    monkeypatch.setattr(DC, "save_stage", keep)
+    got = DC.nearest_neighbours(frame(p, t), frame(q, np.arange(len(q))), 3, cell_rows=100, block=200).collect()
+    held = [r["count"] for r in kept["neighbour_cells"].groupBy("cell").count().collect()]
+    assert sum(held) == len(p) and max(held) <= 200
+    near = np.argsort(((q[:, None] - p[None]) ** 2).sum(2), 1, kind="stable")[:, :3]
+    right = sum(r["pred"] == int(t[near[int(r["origin"])]].mean() > 0.5) for r in got)
+    assert len(got) == len(q) and right >= 0.95 * len(q)
+
+
 def test_svd_is_not_centred(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(3, 1, (200, 4))
