@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -38,6 +39,7 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 SLICE_BYTES = 16 << 20  # of texts whose distinct words are held at once
+RUN_BYTES = 1 << 20  # of texts that are cut into words, or whose ids are held, at once
 JOINED = 256
 _MARKS = ".,!?:;"
 # letters below U+0250 are in normal form and, but for U+0130, have one letter as their lower case
@@ -79,19 +81,19 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
-    def _single(self, pieces: list[str]) -> tuple[list[np.ndarray], list[int]]:
+    def _single(self, pieces: pa.Array) -> tuple[list[np.ndarray], list[int]]:
         out, sizes = [], []
         for at in range(0, len(pieces), 4096):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[at:at + 4096], add_special_tokens=False)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[at:at + 4096].to_pylist(), add_special_tokens=False)]
             out.append(np.fromiter(chain.from_iterable(found), np.uint32))
             sizes += map(len, found)
         return out, sizes
 
-    def _plain(self, words: list[str]) -> tuple[list[np.ndarray], list[int]]:
+    def _plain(self, words: pa.Array) -> tuple[list[np.ndarray], list[int]]:
         """Ids of words of plain lower-case letters, encoded many to a string."""
         out, sizes = [], []
         for at in range(0, len(words), JOINED):
-            part = words[at:at + JOINED]
+            part = words[at:at + JOINED].to_pylist()
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) != len(part):
@@ -105,7 +107,7 @@ class Encoder:
         plain = pc.match_substring_regex(words, _PLAIN)
         of, other = words.filter(plain), words.filter(pc.invert(plain))
         cores = pc.utf8_lower(pc.utf8_rtrim(of, _MARKS)).dictionary_encode()
-        units = [self._plain(cores.dictionary.to_pylist()), self._single(list(_MARKS)), self._single(other.to_pylist())]
+        units = [self._plain(cores.dictionary), self._single(pa.array(list(_MARKS))), self._single(other)]
         ids = np.concatenate([np.zeros(0, np.uint32), *chain.from_iterable(i for i, _ in units)])
         edge = np.cumsum([0, *chain.from_iterable(n for _, n in units)])
         # a word is its core's unit and that of its mark, any other word a unit of its own
@@ -119,12 +121,27 @@ class Encoder:
         ids, edge = _gathered(ids, edge, both[both >= 0])
         return ids, edge[np.r_[0, np.cumsum(1 + (second >= 0))]]
 
+    def runs(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Run after run of the texts, about ``RUN_BYTES`` each: their ids, one after another,
+        and their edges. Of all texts at once only the words' numbers are held."""
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        edges = np.r_[0, np.flatnonzero(np.diff(size // RUN_BYTES)) + 1, len(texts)].tolist()
+        sizes, numbers = [], []
+        for a, b in zip(edges, edges[1:]):
+            parts = pc.split_pattern(pc.replace_substring(texts[a:b], "\n", " "), " ")
+            sizes.append(pc.list_value_length(parts).to_numpy())
+            numbers.append(parts.flatten().dictionary_encode())
+        numbers = pa.chunked_array(numbers).unify_dictionaries()
+        ids, edge = self._words(numbers.chunk(0).dictionary)
+        for n, part in zip(sizes, numbers.chunks):
+            found, at = _gathered(ids, edge, part.indices.to_numpy())
+            yield found, at[np.r_[0, np.cumsum(n)]]
+
     def token_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and their edges."""
-        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        words = parts.flatten().dictionary_encode()
-        ids, edge = _gathered(*self._words(words.dictionary), words.indices.to_numpy())
-        return ids, edge[np.r_[0, np.cumsum(pc.list_value_length(parts).to_numpy())]]
+        runs = list(self.runs(texts))
+        sizes = np.concatenate([[0], *(np.diff(edge) for _, edge in runs)])
+        return np.concatenate([ids for ids, _ in runs]), np.cumsum(sizes)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Token ids of every text as little-endian unsigned 32-bit bytes."""
@@ -138,27 +155,37 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _strings(texts: pa.Array) -> pa.Array:
+    try:
+        return texts.cast(pa.string())
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        return pa.array([t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
+
+
 def pieces(docs: DataFrame, capacity: int, end_id: int, path: str, with_ids: bool = False) -> DataFrame:
     """(_id, _th, piece, start, length, ids_crc32[, ids]) of every piece. ``docs`` as ``keyed``."""
     def cut(batches):
         enc = encoder(path)
         for b in bounded_batches(batches, "_text", SLICE_BYTES):
-            texts = [t.decode("utf-8", "replace") for t in b.column("_text").to_pylist()]
-            ids, edge = enc.token_ids(pa.array(texts, pa.string()))
-            ids = np.insert(ids, edge[1:], end_id).astype("<u4")
-            edge = edge + np.arange(len(edge))
-            many = -(-np.diff(edge) // capacity)
-            row = np.repeat(np.arange(len(many)), many)
-            piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-            begin = edge[row] + piece * capacity
-            end = np.minimum(begin + capacity, edge[row + 1])
-            blob = memoryview(ids).cast("B")
-            parts = [blob[4 * x:4 * y] for x, y in zip(begin.tolist(), end.tolist())]
-            cols = {"_id": b.column("_id").take(pa.array(row)), "_th": b.column("_th").take(pa.array(row)), "piece": piece,
-                    "start": piece * capacity, "length": end - begin, "ids_crc32": [zlib.crc32(p) for p in parts]}
-            if with_ids:
-                cols["ids"] = [p.tobytes() for p in parts]
-            yield cols
+            for ids, edge in enc.runs(_strings(b.column("_text"))):
+                yield cut_run(b[:len(edge) - 1], ids, edge)
+                b = b[len(edge) - 1:]
+
+    def cut_run(b: pa.RecordBatch, ids: np.ndarray, edge: np.ndarray) -> dict:
+        ids = np.insert(ids, edge[1:], end_id).astype("<u4")
+        edge = edge + np.arange(len(edge))
+        many = -(-np.diff(edge) // capacity)
+        row = np.repeat(np.arange(len(many)), many)
+        piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        begin = edge[row] + piece * capacity
+        end = np.minimum(begin + capacity, edge[row + 1])
+        blob = memoryview(ids).cast("B")
+        parts = [blob[4 * x:4 * y] for x, y in zip(begin.tolist(), end.tolist())]
+        cols = {"_id": b.column("_id").take(pa.array(row)), "_th": b.column("_th").take(pa.array(row)), "piece": piece,
+                "start": piece * capacity, "length": end - begin, "ids_crc32": [zlib.crc32(p) for p in parts]}
+        if with_ids:
+            cols["ids"] = [p.tobytes() for p in parts]
+        return cols
 
     return arrow_stream(docs, cut, "_id long, _th long, piece int, start long, length long, ids_crc32 long"
                         + ", ids binary" * with_ids)

@@ -173,6 +173,23 @@ def test_token_ids_are_gathered_from_distinct_pieces():
     assert len(ids) == 0 and edge.tolist() == [0]
 
 
+def test_token_ids_are_held_run_by_run(monkeypatch):
+    monkeypatch.setattr(packing, "RUN_BYTES", 500)
+    gathered, held = packing._gathered, []
+    monkeypatch.setattr(packing, "_gathered", lambda *a: held.append(len(a[2])) or gathered(*a))
+    enc = packing.Encoder(packing.tokenizer_path())
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["ab", "Cd.", "é", "x1"]) for _ in range(rng.randint(0, 40))) for _ in range(400)] + ["", "ab " * 900, ""]
+    runs = list(enc.runs(pa.array(texts)))
+    assert [ids[a:b].tolist() for ids, edge in runs for a, b in zip(edge, edge[1:])] == [
+        e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert len(runs) > 50 and max(held) < 1500 < sum(held)  # words gathered at once: a run's, or a longer text's and a run's
+
+
+def test_packing_of_bytes_that_are_no_text():
+    assert packing._strings(pa.array([b"a\xff b", b"", "é".encode()], pa.binary())).to_pylist() == ["a\ufffd b", "", "é"]
+
+
 @pytest.mark.parametrize("lengths", [[1] * 50, [4096] * 3, list(range(1, 400)), [2049] * 7 + [2047] * 7, [1000, 1000, 1000, 1096] * 5, [1500] * 9])
 def test_plan_places_each_piece_once(lengths):
     runs = packing.plan(Counter(lengths))
