@@ -205,5 +205,22 @@ def test_words_of_one_hash_stay_apart():
         assert sorted(zip(rows.tolist(), counts.tolist())) == [([1, 2], 2), ([1, 3], 1)]
 
 
+@pytest.mark.parametrize("recounted,most", [(300_000, 1), (4, 40)])
+def test_recount_adds_up_over_the_slices_of_a_task(spark, recounted, most, monkeypatch):
+    monkeypatch.setattr(phrases, "RECOUNTED", recounted)
+    monkeypatch.setattr(phrases, "FRESH", 7)
+    docs = spark.createDataFrame([(i, "a b c, é b", ["en", None][i % 2], "s", 1) for i in range(40)], DOCS).repartition(40)
+    slices = phrases.numbered(docs, "text", "lang").coalesce(1)
+    assert slices.count() > 20
+    found = listed(phrases._recounted(slices, np.full(4, 2**64 - 1, np.uint64)), "lang", "k", "phrase", "f")
+    times = Counter(x[:3] for x in found)
+    total = Counter()
+    for *x, f in found:
+        total[tuple(x)] += f
+    one = {(0, ""): 5, (1, "a"): 1, (1, "b"): 2, (1, "c"): 1, (1, "é"): 1, (2, "a b"): 1, (2, "b c"): 1, (2, "é b"): 1, (3, "a b c"): 1}
+    assert total == {(lang, *x): 20 * n for lang in ("en", "und") for x, n in one.items()}
+    assert max(times.values()) <= most
+
+
 def test_phrases_of_an_empty_table(empty):
     assert phrases.collocations(empty).count() == 0
