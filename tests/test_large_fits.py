@@ -3,10 +3,13 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from scorecraft.functions.exprs import EDGE_DP
+from scorecraft.operators import areas as A
 from scorecraft.operators import binning as B
+from scorecraft.operators import model as M
 from scorecraft.operators import ordered as O
 
 
@@ -41,3 +44,53 @@ def test_quantiles_hold_rows_only_where_reading_again_runs_more_than_a_scan(spar
     assert O.reads_files(d.where("k < 2").select((F.col("x") + 1).alias("x")))
     assert not O.reads_files(d.join(d.groupBy("k").count(), "k")) and not O.reads_files(d.distinct()) and not O.reads_files(d.repartition(3))
     assert O.quantiles(d, ["x"], [0.5]).first()["values"] == [24.5]
+
+
+def test_scores_are_packed_without_loss():
+    for v in ([0.5], [-2.0, -2.0, 0.0, 1e-10, 3.25], [0.1, 0.1000000001], [-1e9, 0.0, 7e8, 7e8], [-400.0, 400.0]):
+        v = np.round(np.array(v), A.SCORE_DP)
+        values, counts = A.unpacked(*A.packed(v))
+        assert np.repeat(values, counts).tolist() == v.tolist()
+    assert len(A.packed(np.array([0.1, 0.2, 0.3]))[2]) == 12  # four bytes a score
+
+
+@pytest.mark.parametrize("few, held", [(10**9, 10**9), (20, 300)])  # one bucket in one piece; many of both
+def test_areas_count_pairs_and_half_of_ties(spark, few, held):
+    rng = np.random.default_rng(8)
+    z, y, fold = np.round(rng.normal(size=(500, 3)), 1), rng.random(500) < 0.3, rng.integers(0, 2, 500)
+    z[:, 1] = 0.25  # a model that tells nothing apart
+    y[fold == 1] &= z[fold == 1, 0] > 9  # a fold without positives
+    d = spark.createDataFrame([([*map(float, a)], float(t), int(f)) for a, t, f in zip(z, y, fold)], "x array<double>, y double, _fold int")
+
+    def scores(b):
+        return (np.array(b.column("x").to_pylist()), b.column("y").to_numpy() == 1, b.column("_fold").to_numpy())
+
+    got = A.roc_areas(d.repartition(5), scores, 2, few=few, held=held)
+    for m in range(3):
+        for f in range(2):
+            pos, neg = z[(fold == f) & y, m], z[(fold == f) & ~y, m]
+            want = sum((a > neg).sum() + 0.5 * (a == neg).sum() for a in pos)
+            assert got[m * 2 + f] == (want, len(pos), len(neg))
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 3))
+    y = (rng.random(300) < 1 / (1 + np.exp(-2 * x[:, 0]))).astype(float)
+    return spark.createDataFrame([([*map(float, r)], float(t)) for r, t in zip(x, y)], "a array<double>, y double").select(
+        array_to_vector("a").alias("features"), "y")
+
+
+@pytest.mark.parametrize("search", [lambda v: M.random_search(v, draws=2, folds=2), lambda v: M.rfe(v, list("abc"), 1),
+                                    lambda v: M.sequential_select(v, list("abc"), 2, "backward", folds=2)])
+def test_passes_read_a_stage_table_and_no_cache(fitted, monkeypatch, search):
+    plans, fit = [], M.fit_logits
+
+    def seen(rows, *a, **kw):
+        plans.append(rows._jdf.queryExecution().withCachedData().toString())
+        return fit(rows, *a, **kw)
+
+    monkeypatch.setattr(M, "fit_logits", seen)
+    assert search(fitted)
+    assert plans and all("InMemoryRelation" not in p and "parquet" in p for p in plans)
