@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from scorecraft.functions.exprs import EDGE_DP
 from scorecraft.operators import areas as A
 from scorecraft.operators import binning as B
+from scorecraft.operators import distcheck as DC
 from scorecraft.operators import model as M
 from scorecraft.operators import ordered as O
 
@@ -94,3 +95,37 @@ def test_passes_read_a_stage_table_and_no_cache(fitted, monkeypatch, search):
     monkeypatch.setattr(M, "fit_logits", seen)
     assert search(fitted)
     assert plans and all("InMemoryRelation" not in p and "parquet" in p for p in plans)
+
+
+@pytest.mark.parametrize("many", [1, 4])
+def test_cells_are_found_as_by_following_each_row(many):
+    rng = np.random.default_rng(4)
+    tree, inner = DC._Cells(rng.normal(size=(7, 3))), []
+    for cell, parts in ((2, 3), (5, 2), (0, 9)):  # cut into as many as fill a power of two, or not
+        inner.append(tree.size)
+        tree.cut(cell, rng.normal(size=(parts, 3)))
+    tree.close()
+    tree.cut(inner[2] + 4, rng.normal(size=(5, 3)))  # a part of a part
+    tree.close()
+    x = rng.normal(size=(700, 3))
+
+    def near(row, at):
+        d = (tree.centres[at] ** 2).sum(1) - 2 * tree.centres[at] @ row
+        return sorted(zip(d, range(len(d))))[:many]
+
+    def followed(row):
+        out, open_ = [], [(d, c) for d, c in near(row, 0)]
+        while open_:
+            d, c = open_.pop()
+            if c in tree.cuts:
+                first, at = tree.cuts[c]
+                open_ += [(e, first + i) for e, i in near(row, at)]
+            else:
+                out.append((d, c))
+        return [c for _, c in sorted(out)[:many]]
+
+    row, cell = tree.find(x, many)
+    assert [cell[row == i].tolist() for i in range(len(x))] == [followed(r) for r in x]
+    if many == 1:
+        root = tree.roots(x, 1)[0][:, 0]
+        assert tree.find(x, 1, root)[1].tolist() == cell.tolist()
